@@ -23,10 +23,9 @@ def p6_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_combined_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summaries of single days, combined to the whole."""
     t = _fares(spark, sf_dir)
-    parts = t.rdd.getNumPartitions()
-    days = quantiles.combine(quantiles.summarise(t, ["zone_id", "day"], ["fare_amount", "trip_distance"]), ["zone_id", "day"], parts=parts)
-    days = days.withColumn("part", F.datediff("day", F.lit("1970-01-01")))
-    whole = quantiles.combine(days.fillna({"part": 0}), ["zone_id"], parts=1 << 15)
+    days = quantiles.summarise(t, ["zone_id", "day"], ["fare_amount", "trip_distance"])
+    days = days.withColumn("part", F.coalesce(F.datediff("day", F.lit("2000-01-01")), F.lit(0)))
+    whole = quantiles.combine(days, ["zone_id"], parts=1 << 15)
     return quantiles.read_quantiles(whole, ["zone_id"])
 
 
