@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marlstone.session import shuffle_width
+from marlstone.session import materialise, shuffle_width
 
 
 @dataclass(frozen=True)
@@ -73,6 +73,7 @@ def key_loads(df: DataFrame, key: list[str]) -> DataFrame:
 def plan_shards(loads: DataFrame, key: list[str], tasks: int, buckets_a_task: int = 8) -> ShardPlan:
     """The driver sees at most 4 * tasks heavy keys and tasks * buckets_a_task sums."""
     n_buckets = tasks * buckets_a_task
+    loads = materialise(loads)  # a row a key: the table is counted once for the three questions below
     known = loads.where(" and ".join(f"`{k}` is not null" for k in key))
     total = known.agg(F.sum("load")).first()[0] or 0
     floor = max(1, total / (4 * tasks))
