@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from marlstone.functions.scalars import minutes_between, real_number
+from marlstone.session import materialise
 
 
 @dataclass(frozen=True)
@@ -144,7 +145,7 @@ def forecasts(r: DataFrame, rules: SpikeRules) -> tuple[DataFrame, DataFrame]:
     The state table has a row a source and day; where a day has no sound
     trip there is no row and the readings are judged by the source's medians.
     """
-    rough = _rough(r, rules).where("source is not null")
+    rough = materialise(_rough(r, rules).where("source is not null"))  # a row a source
     sums = _daily_sums(r, rough, rules)
     drift = rules.drift
     return rough, sums.groupBy("source").applyInPandas(lambda p: kalman_days(p, drift), _FORECAST)
