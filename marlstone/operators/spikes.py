@@ -38,8 +38,9 @@ class SpikeRules:
     usual value under which a reading is next to nothing; beyond: factor over
     the forecast from which a disagreeing reading is a spike; late_min: minutes
     past the source's longest trips; run: trips of the same value; flat: the
-    rate type with a fixed fare; hot_rows: rows of a meter from which its runs
-    are searched in segments (exact either way)."""
+    rate type with a fixed fare; hot_rows: rows of a meter (but at least a
+    thousandth of all) from which its runs are searched in segments (exact
+    either way)."""
 
     gate: float = 6.0
     tiny: float = 0.03
@@ -208,8 +209,9 @@ def stuck_runs(r: DataFrame, rules: SpikeRules) -> DataFrame:
     """
     fields = {"dist": "trip_distance", "fare": "fare_amount", "dropoff": "lpep_dropoff_datetime"}
     rows = r.where("meter_id is not null and pickup is not null").select("meter_id", "pickup", "trip_id", "record_id", *fields)
-    load = rows.groupBy("meter_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rules.hot_rows).select("meter_id")
-    hot = [x[0] for x in load.collect()]  # at most rows / hot_rows keys
+    load = materialise(rows.groupBy("meter_id").agg(F.count(F.lit(1)).alias("n")))  # a row a meter
+    floor = max(rules.hot_rows, (load.agg(F.sum("n")).first()[0] or 0) / 1000)
+    hot = [x[0] for x in load.where(F.col("n") > floor).select("meter_id").collect()]  # at most 1000 keys
     calm = rows.where(~F.col("meter_id").isin(*hot)) if hot else rows
     calm = calm.withColumn("seg", F.lit(0).cast("bigint"))
     order = ["pickup", "trip_id", "record_id"]

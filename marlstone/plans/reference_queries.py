@@ -209,6 +209,11 @@ def q_silhouette_points(spark, d):
 EPS, MIN_SAMPLES = 1.15, 3
 
 
+def q_silhouette_fast(spark, d):
+    v = _vectors(spark, d).withColumn("prediction", F.col("label").cast("int"))
+    return spark.createDataFrame([(distance.silhouette_fast(v),)], "silhouette double")
+
+
 def q_neighbors_eps(spark, d):
     return _round(distance.neighbours(_vectors(spark, d).drop("label"), EPS), "distance")
 
@@ -338,6 +343,22 @@ def q_classification_report(spark, d):
     return _round(evaluate.report(_nb_predictions(spark, d), LABELS), "precision", "recall", "f1").withColumn("support", F.col("support").cast("bigint"))
 
 
+def q_in_sample_report(spark, d):
+    df = _labelled(spark, d)
+    out = evaluate.report(models.gaussian_nb(df)(df), LABELS)
+    return _round(out, "precision", "recall", "f1").withColumn("support", F.col("support").cast("bigint"))
+
+
+def q_confusion_by_model(spark, d):
+    """Confusion tables of several models on one held-out part."""
+    fit, test = _scaled(*_held_out(spark, d))
+    out = None
+    for name in ("gaussian_nb", "tree"):
+        one = evaluate.confusion(models.MODELS[name](fit)(test), LABELS).select(F.lit(name).alias("model"), "label", "prediction", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_accuracy(spark, d):
     return _round(evaluate.accuracy(_nb_predictions(spark, d)), "accuracy")
 

@@ -46,12 +46,13 @@ nb as (select id, label, cls as prediction from sc qualify row_number() over (pa
 
 
 _NB = f"{_SPLIT}, tr as (select * from s where not is_test), te as (select * from s where is_test), {_nb('tr', 'te')}"
-_CONF = _NB + ", names(name) as (values ('low'), ('medium'), ('high')), cm as (select a.name as label, b.name as prediction, (select count(*) from nb where nb.label = a.name and nb.prediction = b.name)::bigint as n from names a, names b)"
+_NAMES = ", names(name) as (values ('low'), ('medium'), ('high')), cm as (select a.name as label, b.name as prediction, (select count(*) from nb where nb.label = a.name and nb.prediction = b.name)::bigint as n from names a, names b)"
+_CONF = _NB + _NAMES
 
 
-def _report() -> str:
+def _report(base: str = _CONF) -> str:
     div = "case when {1} = 0 then 0.0 else {0} / {1}::double end"
-    return f"""with {_CONF}, per as (select n.name, (select sum(n) from cm where label = n.name and prediction = n.name) as tp, (select sum(n) from cm where label = n.name) as support, (select sum(n) from cm where prediction = n.name) as guessed from names n),
+    return f"""with {base}, per as (select n.name, (select sum(n) from cm where label = n.name and prediction = n.name) as tp, (select sum(n) from cm where label = n.name) as support, (select sum(n) from cm where prediction = n.name) as guessed from names n),
 pr as (select name, tp, support, {div.format('tp', 'guessed')} as precision, {div.format('tp', 'support')} as recall from per),
 pf as (select *, case when precision + recall = 0 then 0.0 else 2 * precision * recall / (precision + recall) end as f1 from pr)
 select name, round(precision, 4) as precision, round(recall, 4) as recall, round(f1, 4) as f1, support::bigint as support from pf
@@ -156,6 +157,7 @@ comp as (select id, min(root) as component from reach group by id), num as (sele
         "gaussian_nb": f"with {_NB} select id, label, prediction from nb",
         "confusion_matrix": f"with {_CONF} select label, prediction, n from cm",
         "classification_report": _report(),
+        "in_sample_report": _report(f"{_LABELLED}, {_nb('l', 'l')}{_NAMES}"),
         "accuracy": f"with {_NB} select round(avg((label = prediction)::int::double), 4) as accuracy from nb",
         "cv_scores": _cv(5, "(rk - 1) % 5", _RANKED) + " select fold, round(accuracy, 4) as accuracy from cv",
         "cv_mean_std": _cv(5, "(rk - 1) % 5", _RANKED) + " select round(avg(accuracy), 4) as mean, round(stddev_pop(accuracy), 4) as std from cv",
