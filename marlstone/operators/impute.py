@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from marlstone.functions import scalars as S
+from marlstone.session import materialise
 
 
 @dataclass(frozen=True)
@@ -257,7 +258,7 @@ def fill_trips(trips: DataFrame, max_bins: int = 24, max_vendors: int = 31) -> D
     values = trips.select(F.round(S.real_extra("extra"), 2).alias("e")).where("e is not null").groupBy("e").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "e").limit(max_bins).collect()
     extras = sorted(r[0] for r in values)
     vendors = sorted(r[0] for r in trips.where("vendor is not null").groupBy("vendor").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "vendor").limit(max_vendors).collect())
-    coded = coded_trips(trips, extras, vendors)
+    coded = materialise(coded_trips(trips, extras, vendors))  # read by the counts and by the fill
     n_pay, n_ex = len(S.PAYMENT_TYPES), max(1, len(extras))
     nodes = [
         Node("passenger_count", 9), Node("passenger_count_shift", 9), Node("passenger_count_twin", 9),
