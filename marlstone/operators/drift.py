@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from marlstone.functions.scalars import is_absent, value_kind
@@ -68,7 +69,7 @@ _SPARK_TYPE = {"zone": "int", "money": "double"}
 class DriftRules:
     """Parameters of the ingestion. min_share: share of values a kind needs;
     key: the field that names a trip; min_shared, min_agree: shared trips and
-    agreeing share that let two names outside ``aliases`` count as one field."""
+    agreeing share that let two names count as one field without ``aliases``."""
 
     target: dict[str, str] = field(default_factory=lambda: dict(TARGET))
     aliases: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(ALIASES))
@@ -230,54 +231,98 @@ def _canonical(v: Column) -> Column:
 def schema_changes(parsed: DataFrame, files: DataFrame, rules: DriftRules = DriftRules()) -> DataFrame:
     """file_id, field, change (added, removed, renamed, retyped) against the feed's file before.
 
-    Two names are one field if ``rules.aliases`` says so; for other names a
-    removed and an added field of one file are matched if the trips that both
-    files hold carry the same values under both names.
+    Two names are one field if ``rules.aliases`` says so. Any other removed and
+    added name of one file, of which one at least is in no list, are matched if
+    the trips that both files hold carry the same values under both. A name
+    so matched stands for its field in the feed's later files.
     """
     order = W.partitionBy("feed").orderBy("delivered_at", "file_id")
     seq = files.where("feed is not null").select("file_id", "feed", F.row_number().over(order).alias("seq"), F.lead("file_id").over(order).alias("next_id"))
     kinds = field_kinds(parsed, rules).join(seq, "file_id").select("feed", "seq", "file_id", "next_id", "field", "kind", rules.logical(F.col("field")).alias("logical"))
     kinds = materialise(kinds)  # a row a file and field: the lines are parsed once for all that follows
-    cur = kinds.select("feed", "seq", "file_id", "field", "logical")
-    prev = kinds.where("next_id is not null").select("feed", (F.col("seq") + 1).alias("seq"), F.col("next_id").alias("p_file"), F.col("field").alias("p_field"), "logical")
-    both = cur.join(prev, ["feed", "seq", "logical"], "full").where("seq > 1")
-    diff = both.select(
-        F.coalesce("file_id", "p_file").alias("file_id"), "feed", "seq", "logical", "field", "p_field"
-    ).where("field is null or p_field is null or field <> p_field")
-    open_ = diff.where("field is null or p_field is null")
-    gone = open_.where("field is null").select("feed", "seq", "file_id", F.col("p_field").alias("old"))
-    new = open_.where("p_field is null").select("feed", "seq", "file_id", F.col("field").alias("new"))
-    known = [*rules.target, *rules.aliases, *(a for v in rules.aliases.values() for a in v)]
-    odd = [x.where(~F.col(c).isin(*known)) for x, c in ((gone, "old"), (new, "new"))]
-    pairs = odd[0].join(odd[1].select("file_id", "new"), "file_id")
-    if pairs.isEmpty():  # no name is left to explain: no need to read the lines again
-        moved = pairs.select("file_id", "old", "new").limit(0)
+    cur = kinds.select("feed", "file_id", "field", "kind", "logical")
+    prev = kinds.where("next_id is not null").select("feed", F.col("next_id").alias("file_id"), F.col("field").alias("old"), F.col("kind").alias("p_kind"), "logical")
+    open_ = [x.join(y.select("file_id", "logical"), ["file_id", "logical"], "left_anti") for x, y in ((prev, cur), (cur.join(prev.select("file_id").distinct(), "file_id"), prev))]
+    listed = lambda c: F.col(c).isin(*_listed(rules))
+    offer = open_[0].select("file_id", "feed", "old").join(open_[1].select("file_id", F.col("field").alias("new")), "file_id").where(~(listed("old") & listed("new")))
+    known = F.when(listed("old"), rules.logical(F.col("old"))).when(listed("new"), rules.logical(F.col("new")))
+    offer = offer.select("feed", "file_id", "old", "new", known.alias("logical"), F.lit(False).alias("teaches"))
+    coded = [k for k, t in rules.target.items() if t == "string"]
+    teach = cur.where(F.col("logical").isin(*coded)).join(prev, ["feed", "file_id", "logical"]).where("kind <> p_kind")
+    offer = materialise(offer.unionByName(teach.select("feed", "file_id", "old", F.col("field").alias("new"), "logical", F.lit(True).alias("teaches"))))
+    if offer.where("not teaches").isEmpty():  # no name is left to explain: no need to read the lines again
+        moved = offer.select("feed", "file_id", "old", "new", F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("agree")).limit(0)
     else:
-        moved = _moved(parsed, seq, *odd, rules)
-    renamed_known = diff.where("field is not null and p_field is not null").select("file_id", "field", F.lit("renamed").alias("change"))
-    added = new.join(moved, ["file_id", "new"], "left_anti").select("file_id", F.col("new").alias("field"), F.lit("added").alias("change"))
-    removed = gone.join(moved, ["file_id", "old"], "left_anti").select("file_id", F.col("old").alias("field"), F.lit("removed").alias("change"))
-    renamed = moved.select("file_id", F.col("new").alias("field"), F.lit("renamed").alias("change"))
-
-    # kinds run along a field while it is present without a gap
-    streak = W.partitionBy("feed", "logical").orderBy("seq")
-    k = kinds.join(moved.select("file_id", F.col("new").alias("field"), "old"), ["file_id", "field"], "left")
-    k = k.withColumn("logical", F.coalesce(rules.logical(F.col("old")), "logical"))
-    k = k.withColumn("run", F.col("seq") - F.row_number().over(streak))
-    before = W.partitionBy("feed", "logical", "run").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
-    k = k.withColumn("had", F.last("kind", ignorenulls=True).over(before))
-    retyped = k.where("had is not null and kind is not null and kind <> had").select("file_id", "field", F.lit("retyped").alias("change"))
-    return renamed_known.unionByName(added).unionByName(removed).unionByName(renamed).unionByName(retyped).distinct()
-
-
-def _moved(parsed: DataFrame, seq: DataFrame, gone: DataFrame, new: DataFrame, rules: DriftRules) -> DataFrame:
-    """file_id, old, new: names matched by the values of shared trips; each name at most once."""
+        moved = _moved(parsed, seq, offer, rules)
+    fields = seq.select("feed", "seq", "file_id").join(kinds.select("file_id", "field", "kind"), "file_id", "left")
+    return fields.groupBy("feed").cogroup(moved.groupBy("feed")).applyInPandas(_walk(rules), "file_id bigint, field string, change string")
+
+
+def _listed(rules: DriftRules) -> list[str]:
+    return [*rules.target, *rules.aliases, *(a for v in rules.aliases.values() for a in v)]
+
+
+def _walk(rules: DriftRules):
+    """The changes of one feed's files in their order: rows are names and kinds, never values."""
+    own = {x: x for x in (*rules.target, *rules.aliases)} | {a: k for k, v in rules.aliases.items() for a in v}
+    real = set(own.values())
+
+    def walk(fields: pd.DataFrame, moved: pd.DataFrame) -> pd.DataFrame:
+        hints = {f: g.sort_values(["agree", "n", "old", "new"], ascending=[False, False, True, True])[["old", "new"]].values.tolist() for f, g in moved.groupby("file_id")}
+        out, role, had, prev = [], {}, {}, None
+        of = lambda x: own.get(x) or role.get(x, x)
+        for (_, file_id), g in fields.groupby(["seq", "file_id"], sort=True):
+            now = {f: None if pd.isna(k) else k for f, k in zip(g["field"], g["kind"]) if not pd.isna(f)}
+            origin = {f: f for f in now if f in had}
+            if prev is not None:
+                gone = {f: of(f) for f in sorted(had.keys() - now.keys())}
+                for f in sorted(now.keys() - had.keys()):
+                    old = next((x for x, name in gone.items() if name == of(f)), None)
+                    if old is not None:
+                        origin[f] = old
+                        del gone[old]
+                for old, new in hints.get(file_id, ()):
+                    a, b = of(old), of(new)
+                    if old not in gone or new in origin or (a in real and b in real):
+                        continue
+                    origin[new] = old
+                    del gone[old]
+                    root = b if b in real else a
+                    role.update({x: root for x, r in role.items() if r in (a, b)} | {x: root for x in (old, new) if x not in own})
+                out += [(file_id, f, "removed") for f in gone]
+                out += [(file_id, f, "added") for f in now if f not in origin]
+                out += [(file_id, f, "renamed") for f, old in origin.items() if f != old]
+                out += [(file_id, f, "retyped") for f, old in origin.items() if now[f] and had[old] and now[f] != had[old]]
+            had = {f: k or had.get(origin.get(f)) for f, k in now.items()}
+            prev = file_id
+        return pd.DataFrame(out, columns=["file_id", "field", "change"])
+
+    return walk
+
+
+def _moved(parsed: DataFrame, seq: DataFrame, offer: DataFrame, rules: DriftRules) -> DataFrame:
+    """feed, file_id, old, new, n, agree: the offered names whose values agree over shared trips.
+
+    Values agree if they are the same but for style, or the same in the type of
+    the target's field (cents and whole amounts, seconds and dates), or if the
+    files that retype the field under listed names turn one into the other (1
+    and standard).
+    """
     ref = _value_of(F.col("kv"), [rules.key])
-    cell = parsed.where("kv is not null").select("file_id", ref.alias("ref"), F.explode("kv").alias("e")).where(~is_absent("e.value") & F.col("ref").isNotNull()).select("file_id", "ref", F.col("e.name").alias("name"), _canonical(F.col("e.value")).alias("value"))
-    after = cell.join(new.select("file_id", F.col("new").alias("name")), ["file_id", "name"]).select("file_id", "ref", F.col("name").alias("new"), F.col("value").alias("v_new"))
+    cell = parsed.where("kv is not null").select("file_id", ref.alias("ref"), F.explode("kv").alias("e")).where(~is_absent("e.value") & F.col("ref").isNotNull()).select("file_id", "ref", F.col("e.name").alias("name"), F.col("e.value").alias("value"))
+    after = cell.join(offer.withColumn("name", F.col("new")), ["file_id", "name"]).withColumnRenamed("value", "v_new").drop("name")
     nxt = seq.where("next_id is not null").select("file_id", "next_id")
-    ahead = cell.join(nxt, "file_id").select(F.col("next_id").alias("file_id"), "ref", F.col("name").alias("old"), F.col("value").alias("v_old")).join(gone.select("file_id", "old"), ["file_id", "old"])
-    score = after.join(ahead, ["file_id", "ref"]).groupBy("file_id", "old", "new").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("v_new") == F.col("v_old")).cast("double")).alias("agree"), F.count_distinct("v_new").alias("d"))
-    score = score.where((F.col("n") >= rules.min_shared) & (F.col("agree") >= rules.min_agree) & (F.col("d") > 1))
-    best = lambda part: F.row_number().over(W.partitionBy("file_id", part).orderBy(F.desc("agree"), F.desc("n"), "old", "new"))
-    return score.withColumns({"a": best("old"), "b": best("new")}).where("a = 1 and b = 1").select("file_id", "old", "new")
+    ahead = cell.join(nxt, "file_id").select(F.col("next_id").alias("file_id"), "ref", F.col("name").alias("old"), F.col("value").alias("v_old")).join(offer.select("file_id", "old").distinct(), ["file_id", "old"])
+    both = after.join(ahead, ["file_id", "ref", "old"]).withColumns({"a": _canonical(F.col("v_old")), "b": _canonical(F.col("v_new"))})
+    both = materialise(both)  # a row a shared trip and offered pair
+    met = both.where("teaches and a <> b")
+    codes = met.select("logical", "a", "b").unionByName(met.select("logical", F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("logical", "a", "b").agg(F.count(F.lit(1)).alias("times"))
+    codes = codes.withColumn("share", F.col("times") / F.sum("times").over(W.partitionBy("logical", "a"))).where(F.col("share") >= rules.min_agree).select("logical", "a", "b", F.lit(True).alias("coded"))
+    kind = F.create_map(*(F.lit(x) for kv in rules.target.items() for x in kv))[F.col("logical")]
+    typed = F.lit(False)
+    for t in ("money", "zone", "timestamp_ntz"):
+        typed = F.when(kind == t, _cast(F.col("v_old"), t) == _cast(F.col("v_new"), t)).otherwise(typed)
+    same = (F.col("a") == F.col("b")) | F.coalesce(typed, F.lit(False)) | F.coalesce("coded", F.lit(False))
+    score = both.where("not teaches").join(codes, ["logical", "a", "b"], "left").groupBy("feed", "file_id", "old", "new")
+    score = score.agg(F.count(F.lit(1)).alias("n"), F.avg(same.cast("double")).alias("agree"), F.count_distinct("b").alias("d"))
+    return score.where((F.col("n") >= rules.min_shared) & (F.col("agree") >= rules.min_agree) & (F.col("d") > 1)).drop("d")

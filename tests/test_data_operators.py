@@ -81,6 +81,33 @@ def test_drift_finds_unknown_renames_by_shared_trips(spark):
     assert changes(spark, lines, [(1, "a", "csv", ",", 0), (2, "a", "csv", ",", 1)]) == {(2, "omega", "renamed"), (2, "plus", "added")}
 
 
+def test_drift_finds_listed_fields_under_unlisted_names_and_back(spark):
+    word = ["standard", "standard", "airport", "standard", "outer", "airport"]
+    code = {"standard": "1", "airport": "2", "outer": "3"}
+    csv = lambda head, values, at=1: [f"trip_ref,{head}", *(f"{at + i},{v}" for i, v in enumerate(values))]
+    fee = ["0.80", "1.20", "1.65", "0.80", "1.20", "0.80"]
+    lines = {
+        1: csv("rate_type", word),
+        2: csv("zug", word),
+        3: csv("zug", [code[w] for w in word], 50),
+        4: csv("tariff", [code[w] for w in word], 90),  # by the name carried on: no trip is shared
+        5: csv("zug", word, 130),
+        6: csv("rate_type", [code[w] for w in word]),
+        7: csv("rate_type", word),
+        8: csv("kind_of_fare", [code[w] for w in word]),  # the codes are learnt from feed b's files
+        11: csv("levy", fee),
+        12: csv("ehail_fee", [str(round(float(x) * 100)) for x in fee]),
+        13: csv("levy", fee, 50),
+        14: csv("oddity", ["p", "q", "p", "q", "p", "q"], 50),
+    }
+    meta = [(i, "a" if i < 6 else "b" if i < 10 else "c", "csv", ",", i) for i in lines]
+    assert changes(spark, lines, meta) == {
+        (2, "zug", "renamed"), (3, "zug", "retyped"), (4, "tariff", "renamed"), (5, "zug", "renamed"), (5, "zug", "retyped"), (7, "rate_type", "retyped"),
+        (8, "kind_of_fare", "renamed"), (8, "kind_of_fare", "retyped"), (12, "ehail_fee", "renamed"), (12, "ehail_fee", "retyped"), (13, "levy", "renamed"), (13, "levy", "retyped"),
+        (14, "levy", "removed"), (14, "oddity", "added"),
+    }
+
+
 def test_drift_conforms_rescues_and_promotes(spark):
     lines = {1: ["trip_ref,pickup_zone,congestion_fee,extra,toll_total,vendor", '1,Z007,275,x,$3.05,"a, ""b"""', "2,9,2.75,0.50", "", None], 2: []}
     f = files(spark, (1, "a", "csv", ",", 0), (2, "a", "csv", ",", 1))
