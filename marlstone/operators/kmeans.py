@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, functions as F
 from marlstone.operators.distance import to_centroids
 from marlstone.operators.split import sample_rows
 
+# Fixed value: rounds after which a loop without max_iter counts as endless.
+GUARD = 10_000
+
 
 def init_range(pts: DataFrame, k: int, seed: int = 42, from_zero: bool = False) -> list[list[float]]:
     """k heads at random in the box of the points; from_zero: in a box of the same size at the origin."""
@@ -58,19 +61,21 @@ class Fit:
     iterations: int
     kind: str
     trace: list[float] = field(default_factory=list)
+    converged: bool = True
 
     def predict(self, pts: DataFrame) -> DataFrame:
         return assign(pts, self.heads, self.kind)
 
 
-def fit(pts: DataFrame, k: int, kind: str = "euclidean", init: str | list = "sample", seed: int = 42, max_iter: int = 50, tol: float = 1e-4, rule: str = "any_feature") -> Fit:
+def fit(pts: DataFrame, k: int, kind: str = "euclidean", init: str | list = "sample", seed: int = 42, max_iter: int | None = None, tol: float = 1e-4, rule: str = "any_feature") -> Fit:
     """Lloyd's loop. Each round is one job whose k rows reach the driver.
 
     Stops before the update if the summed mean squared distances are under
     tol or as before, or (rule any_feature) one feature's, (rule total) the
     summed SSE changes by less than tol. Empty clusters keep their head and
     have no part in the tests. The metric is the squared Euclidean SSE under
-    any distance.
+    any distance. With max_iter the loop may end before the rule holds
+    (``converged`` is false then); without it, GUARD rounds are an error.
     """
     if isinstance(init, str):
         heads = {"sample": lambda: init_sample(pts, k, seed), "range": lambda: init_range(pts, k, seed), "range0": lambda: init_range(pts, k, seed, True), "first": lambda: init_first(pts, k)}[init]()
@@ -78,7 +83,8 @@ def fit(pts: DataFrame, k: int, kind: str = "euclidean", init: str | list = "sam
         heads = [list(h) for h in init]
     d = len(heads[0])
     old_sse, old_mean, trace = None, None, []
-    for n in range(1, max_iter + 1):
+    done = False
+    for n in range(1, (max_iter or GUARD) + 1):
         rows = step_stats(assign(pts, heads, kind), heads).collect()
         sse = np.array([sum(r[f"sse_{j}"] for r in rows) for j in range(d)])
         mean = {r["prediction"]: sum(r[f"sse_{j}"] for j in range(d)) / r["n"] for r in rows}
@@ -93,7 +99,9 @@ def fit(pts: DataFrame, k: int, kind: str = "euclidean", init: str | list = "sam
         old_sse, old_mean = sse, mean
         for r in rows:
             heads[r["prediction"]] = [r[f"m_{j}"] for j in range(d)]
-    return Fit(heads, trace[-1], n, kind, trace)
+    if not done and max_iter is None:
+        raise RuntimeError(f"no end after {GUARD} rounds")
+    return Fit(heads, trace[-1], n, kind, trace, done)
 
 
 def mllib(pts: DataFrame, k: int, seed: int = 42, runs: int = 3) -> tuple[DataFrame, float, list[list[float]]]:

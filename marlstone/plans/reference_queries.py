@@ -182,7 +182,13 @@ def q_kmeans_sse_by_feature(spark, d):
     return _round(total.select(F.expr("stack(3, 'x', a, 'y', b, 'distortion', a + b) as (feature, sse)")), "sse")
 
 
+def q_kmeans_fit(spark, d):
+    pts, heads = _heads(spark, d)
+    return _round(plotdata.heads_table(spark, kmeans.fit(pts, K, init=heads).heads), "cx", "cy")
+
+
 def q_kmeans_fit_k(spark, d):
+    """Three rounds, as its SQL has them; q_kmeans_fit is the whole fit."""
     pts, heads = _heads(spark, d)
     f = kmeans.fit(pts, K, init=heads, max_iter=3)
     return _round(plotdata.heads_table(spark, f.heads), "cx", "cy")
@@ -190,7 +196,7 @@ def q_kmeans_fit_k(spark, d):
 
 def q_kmeans_sweep(spark, d):
     pts = _plane(spark, d)
-    return plotdata.metric_line(spark, {k: kmeans.fit(pts, k, max_iter=15).metric for k in range(2, 10)})
+    return plotdata.metric_line(spark, {k: kmeans.fit(pts, k).metric for k in range(2, 10)})
 
 
 def q_kmeans_library_sweep(spark, d):

@@ -122,6 +122,33 @@ def test_kmeans(spark):
     assert kmeans.mllib(pts, 3, runs=1)[1] == pytest.approx(f.metric, rel=0.05)
 
 
+def _lloyd(x, heads):
+    """Brute force: heads and SSE where the reference's rule stops."""
+    heads, old_mean, old = np.array(heads, float), None, None
+    while True:
+        at = ((x[:, None] - heads[None]) ** 2).sum(2).argmin(1)
+        part = [((x[at == c] - heads[c]) ** 2) for c in range(len(heads)) if (at == c).any()]
+        mean, sse = np.array([p.sum(1).mean() for p in part]), sum(p.sum(0) for p in part)
+        if mean.sum() < 1e-4 or (old is not None and ((len(mean) == len(old_mean) and np.allclose(mean, old_mean)) or (abs(sse - old) < 1e-4).any())):
+            return heads, sse.sum()
+        old_mean, old = mean, sse
+        heads = np.array([x[at == c].mean(0) if (at == c).any() else heads[c] for c in range(len(heads))])
+
+
+def test_kmeans_queries_converge(spark, tmp_path):
+    from marlstone.plans import reference_queries as q
+
+    x = np.random.default_rng(5).random((400, 2)) * 10
+    spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id bigint, x double, y double").write.parquet(f"{tmp_path}/points.parquet")
+    heads = q.q_kmeans_fit(spark, str(tmp_path)).orderBy("cluster").collect()
+    assert np.allclose([[r.cx, r.cy] for r in heads], _lloyd(x, x[: q.K])[0], atol=1e-4)
+    sweep_ = {r.k: r.distortion for r in q.q_kmeans_sweep(spark, str(tmp_path)).collect()}
+    pts = q._plane(spark, str(tmp_path))
+    assert sweep_ == {k: pytest.approx(_lloyd(x, kmeans.init_sample(pts, k))[1]) for k in range(2, 10)}
+    cut = kmeans.fit(pts, q.K, init=x[: q.K].tolist(), max_iter=3)
+    assert cut.iterations == 3 and not cut.converged and kmeans.fit(pts, q.K, init=x[: q.K].tolist()).converged
+
+
 def test_neighbours_grid_equals_blocks(spark):
     pts, x = cloud(spark)
     wide = pts.withColumn("features", F.concat("features", F.array(F.lit(0.0), F.lit(0.0))))
