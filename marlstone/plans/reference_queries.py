@@ -356,10 +356,10 @@ def q_in_sample_report(spark, d):
 
 
 def q_confusion_by_model(spark, d):
-    """Confusion tables of several models on one held-out part."""
+    """Confusion tables of all models on one held-out part."""
     fit, test = _scaled(*_held_out(spark, d))
     out = None
-    for name in ("gaussian_nb", "tree"):
+    for name in models.MODELS:
         one = evaluate.confusion(models.MODELS[name](fit)(test), LABELS).select(F.lit(name).alias("model"), "label", "prediction", "n")
         out = one if out is None else out.unionByName(one)
     return out
@@ -384,6 +384,14 @@ def q_cv_plain(spark, d):
     return _round(evaluate.cross_validate(f, models.gaussian_nb, 3), "accuracy")
 
 
+def q_cv_by_model(spark, d):
+    """model, splitter, mean, std: every model under each of the three ways to cross-validate."""
+    df = _labelled(spark, d)
+    ways = {"stratified 5": (split.stratified_folds(df, "id", "label", 5), 5), "plain 3": (split.folds(df, "id", 3), 3), "stratified 3": (split.stratified_folds(df, "id", "label", 3), 3)}
+    rows = [(name, way, *evaluate.mean_std(evaluate.cross_validate(f, train, k)).first()) for way, (f, k) in ways.items() for name, train in models.MODELS.items()]
+    return spark.createDataFrame(rows, "model string, splitter string, mean double, std double")
+
+
 def _scaled(train, test):
     """Features of both standardised by the training rows."""
     n = len(FEATURES)
@@ -400,7 +408,7 @@ def _scored(spark, d, train):
 
 
 def q_logreg_fit(spark, d):
-    return _scored(spark, d, lambda t: models.logistic(t, max_iter=100))
+    return _scored(spark, d, models.logistic)
 
 
 def q_logreg_l2_ovr(spark, d):
@@ -412,12 +420,12 @@ def q_tree_fit(spark, d):
 
 
 def q_forest_fit(spark, d):
-    return _scored(spark, d, lambda t: models.forest(t, trees=20, max_depth=12))
+    return _scored(spark, d, models.forest)
 
 
 def q_learning_curve(spark, d):
-    f = split.folds(_labelled(spark, d), "id", 3)
-    return evaluate.curve_band(evaluate.learning_curve(f, models.gaussian_nb, 3))
+    f = split.stratified_folds(_labelled(spark, d), "id", "label", 3)
+    return evaluate.curve_band(evaluate.learning_curve(f, models.logistic_ovr, 3))
 
 
 # ---------------------------------------------------------------- plot data and generators

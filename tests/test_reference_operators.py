@@ -236,6 +236,26 @@ def test_cross_validation_and_curve(spark):
     assert band.count() == 2 and set(band.columns) == {"fraction", "train_mean", "train_std", "test_mean", "test_std"}
 
 
+def test_model_queries_run_the_models_of_the_survey(spark, monkeypatch):
+    from marlstone.plans import reference_queries as q
+
+    seen, small = [], labelled(spark)
+    monkeypatch.setattr(q, "_labelled", lambda *_: small)
+    monkeypatch.setattr(q, "_scaled", lambda train, test: (train, test))
+    monkeypatch.setattr(evaluate, "learning_curve", lambda f, train, k: seen.append((f, train, k)) or spark.createDataFrame([], "fraction double, train_accuracy double, test_accuracy double"))
+    q.q_learning_curve(spark, "")
+    f, train, k = seen.pop()
+    assert train is models.logistic_ovr and k == 3
+    assert {r["count"] for r in f.groupBy("label", "fold").count().collect()} == {10}
+    monkeypatch.setattr(q, "_scored", lambda s, d, train: train)
+    assert q.q_forest_fit(spark, "") is models.forest and q.q_logreg_fit(spark, "") is models.logistic
+    quick = {name: models.gaussian_nb for name in models.MODELS}
+    monkeypatch.setattr(models, "MODELS", quick)
+    assert {r["model"]: r["n"] for r in q.q_confusion_by_model(spark, "").groupBy("model").agg(F.sum("n").alias("n")).collect()} == dict.fromkeys(quick, 27)
+    cv = q.q_cv_by_model(spark, "").collect()
+    assert {(r["model"], r["splitter"]) for r in cv} == {(m, w) for m in quick for w in ("stratified 5", "plain 3", "stratified 3")} and all(r["mean"] > 0.9 for r in cv)
+
+
 # ---------------------------------------------------------------- sources, plot data, streams
 
 
