@@ -3,6 +3,12 @@
 Input: ``raw`` (file_id, line_no, line) and ``files`` (file_id, feed,
 file_format csv|jsonl, separator, delivered_at). Further columns are ignored.
 
+The lines are parsed once, into a written table of names and values. Its counts
+give each field's kind in each file; the kinds decide how a value is read (a
+bare integer is an amount in cents only where the file's field is integer).
+The report compares the files' fields; a name that no list explains is matched
+by replaying its rescued values into the type of the field it may stand for.
+
 Defined results in odd cases
 - a null or blank line, a csv line whose number of values differs from its
   header's and a broken json line give a row with no typed values whose
@@ -92,53 +98,46 @@ def _split(line: Column, sep: Column) -> Column:
     s = F.concat(F.lit("\\Q"), sep, F.lit("\\E"))
     pattern = F.concat(s, F.lit('(?:"(?:[^"]|"")*"(?='), s, F.lit("|$)|(?:(?!"), s, F.lit(").)*)"))
     cut = F.regexp_extract_all(F.concat(sep, line), pattern, F.lit(0))
+    plain = F.split(line, s)
 
     def value(x: Column) -> Column:
         v = F.substring(x, 2, 1 << 30)
         quoted = (F.length(v) > 1) & v.startswith('"') & v.endswith('"')
         return F.when(quoted, F.replace(F.substr(v, F.lit(2), F.length(v) - 2), F.lit('""'), F.lit('"'))).otherwise(v)
 
-    return F.transform(cut, value)
+    return F.when(line.contains('"'), F.transform(cut, value)).otherwise(plain)
 
 
 def parse_lines(raw: DataFrame, files: DataFrame) -> DataFrame:
-    """One row a data line: file_id, feed, delivered_at, line_no, line, kv (array of name, value; null if the line is broken).
+    """A row a line, written once: file_id, line_no, head (a csv header), names, vals (null if the line is broken), line (of broken lines only).
 
-    The files' side of the joins is metadata; the lines' side is split by
-    Spark's skew join if one file holds most lines.
+    names and vals stand in reverse order, so that the first of equal names is
+    the one that counts. The files' side of the joins is metadata; the lines'
+    side is split by Spark's skew join if one file holds most lines.
     """
-    f = files.select("file_id", "feed", "file_format", "separator", "delivered_at")
-    r = raw.select("file_id", "line_no", "line").join(f, "file_id", "left")
+    f = files.select("file_id", "file_format", "separator").where("file_id is not null").dropDuplicates(["file_id"])
     csv = F.col("file_format") == "csv"
-    head = (
-        raw.where(F.col("line_no") == 1)
-        .select("file_id", "line")
-        .join(f.where(csv), "file_id")
-        .groupBy("file_id")
-        .agg(F.min("line").alias("line"), F.min("separator").alias("separator"))
-        .select("file_id", F.transform(_split(F.col("line"), F.col("separator")), _name).alias("head"))
-    )
-    r = r.join(head, "file_id", "left").where(~F.coalesce(csv & (F.col("line_no") == 1), F.lit(False)))
-    vals = F.when(csv & (F.trim("line") != ""), _split(F.col("line"), F.col("separator")))
-    js = F.when((F.col("file_format") == "jsonl") & F.col("line").rlike(r"^\s*\{.*\}\s*$"), F.from_json("line", "map<string,string>"))
-    pair = lambda k, v: F.struct(_name(k).alias("name"), v.alias("value"))
-    r = r.withColumns({"vals": vals, "js": js})
-    kv = F.when(F.size("vals") == F.size("head"), F.zip_with("head", "vals", pair)).when(
-        F.col("js").isNotNull(), F.transform(F.map_entries("js"), lambda e: pair(e["key"], e["value"]))
-    )
-    return r.select("file_id", "feed", "delivered_at", "line_no", "line", kv.alias("kv"), F.col("head"))
-
-
-def _value_of(kv: Column, names: list[str]) -> Column:
-    hit = F.filter(kv, lambda e: e["name"].isin(*names))
-    return F.try_element_at(F.transform(hit, lambda e: e["value"]), F.lit(-1))
-
-
-def _cast(v: Column, kind: str) -> Column:
+    head = raw.where(F.col("line_no") == 1).select("file_id", "line").join(f.where(csv), "file_id").groupBy("file_id").agg(F.min("line").alias("line"), F.min("separator").alias("separator"))
+    head = head.select("file_id", F.reverse(F.transform(_split(F.col("line"), F.col("separator")), _name)).alias("names"))
+    r = raw.select("file_id", "line_no", "line").join(f.join(head, "file_id", "left"), "file_id", "left")
+    is_head = F.coalesce(csv & (F.col("line_no") == 1), F.lit(False))
+    vals = F.when(csv & ~is_head & (F.trim("line") != ""), F.reverse(_split(F.col("line"), F.col("separator"))))
+    js = F.when((F.col("file_format") == "jsonl") & F.col("line").rlike(r"^\s*\{.*\}\s*$"), F.map_entries(F.from_json("line", "map<string,string>")))
+    r = r.withColumns({"head": is_head, "vals": vals, "js": js})
+    whole = F.size("vals") == F.size("names")
+    r = r.withColumns({
+        "names": F.when(is_head | whole, F.col("names")).when(F.col("js").isNotNull(), F.reverse(F.transform("js", lambda e: _name(e["key"])))),
+        "vals": F.when(whole, F.col("vals")).when(F.col("js").isNotNull(), F.reverse(F.transform("js", lambda e: e["value"]))),
+    })
+    return materialise(r.select("file_id", "line_no", "head", "names", "vals", F.when(F.col("vals").isNull(), F.col("line")).alias("line")))
+
+
+def _cast(v: Column, kind: str, cents: Column | None = None) -> Column:
+    """A value in the target's type, null if it can't be; cents: whether a bare integer is an amount in cents."""
     t = F.trim(v)
     if kind == "money":
-        bare = F.regexp_extract(t, r"^(?:\$|amt )?\s*([+-]?[0-9]+(?:\.[0-9]*)?)\s*(?:USD)?$", 1)
-        return F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("double") / 100).otherwise(bare.try_cast("double"))
+        amount = F.regexp_extract(t, r"^(?:\$|amt )?\s*([+-]?[0-9]+(?:\.[0-9]*)?)\s*(?:USD)?$", 1).try_cast("double")
+        return amount if cents is None else F.when(cents & t.rlike(r"^[+-]?[0-9]+$"), amount / 100).otherwise(amount)
     if kind == "zone":
         return F.regexp_extract(t, r"^[Zz]?0*([0-9]{1,9})(?:\.0+)?$", 1).try_cast("int")
     if kind == "int":
@@ -151,38 +150,52 @@ def _cast(v: Column, kind: str) -> Column:
     return t.try_cast(kind)
 
 
-def conform(parsed: DataFrame, rules: DriftRules = DriftRules()) -> DataFrame:
+def field_kinds(parsed: DataFrame, rules: DriftRules = DriftRules()) -> DataFrame:
+    """file_id, field, kind (null: no values), values. Pre-aggregated on the map side: a file's lines never gather in one task."""
+    cells = parsed.where("names is not null").select("file_id", F.explode(F.when(F.col("head"), F.transform("names", lambda n: F.struct(n.alias("field"), F.lit(None).cast("string").alias("value")))).otherwise(F.zip_with("names", "vals", lambda n, v: F.struct(n.alias("field"), v.alias("value"))))).alias("e"))
+    cells = cells.select("file_id", "e.field", value_kind("e.value").alias("kind"))
+    kinds = ("integer", "decimal", "timestamp", "text")
+    n = cells.groupBy("file_id", "field").agg(*(F.count_if(F.col("kind") == k).alias(k) for k in kinds))
+    total = sum((F.col(k) for k in kinds[1:]), F.col(kinds[0]))
+    best = F.greatest(*kinds)
+    sure = F.lit(None).cast("string")
+    for k in kinds:
+        sure = F.when((F.col(k) == best) & (F.col(k) >= rules.min_share * total), k).otherwise(sure)
+    return n.select("file_id", "field", F.when(total > 0, sure).alias("kind"), total.alias("values"))
+
+
+def conform(parsed: DataFrame, rules: DriftRules = DriftRules(), kinds: DataFrame | None = None) -> DataFrame:
     """One consistent table: file_id, line_no, the target's columns, and ``_rescued``.
 
     ``_rescued`` is JSON with the fields outside the target and the values
     that the target's type can't hold, under the names they came with; null
-    if there are none. Map-only: no shuffle.
+    if there are none. kinds (as of field_kinds) tells which money fields of a
+    file are in cents. No shuffle of the lines beyond the join to the files.
     """
-    kv = F.filter("kv", lambda e: ~is_absent(e["value"]))
-    d = parsed.withColumn("_kv", kv)
-    cols, kept = {}, []
+    kinds = field_kinds(parsed, rules) if kinds is None else kinds
+    coins = kinds.where("kind = 'integer'").groupBy("file_id").agg(F.collect_set("field").alias("_coins"))
+    own = F.transform("names", rules.logical)  # the field of each name
+    d = parsed.where("not head").withColumn("_own", own).join(coins, "file_id", "left")
+    real = lambda v: F.when(~is_absent(v), v)
+    d = d.withColumn("vals", F.transform("vals", real))
+    typed, left = {}, {}
     for name, kind in rules.target.items():
-        names = [name, *rules.aliases.get(name, ())]
-        value = _value_of(F.col("_kv"), names)
-        cols[name] = _cast(value, kind)
-        kept.append((names, kind))
-    d = d.withColumns({f"_t_{k}": v for k, v in cols.items()})
-
-    def unfit(e: Column) -> Column:
-        out = F.lit(True)
-        for (names, kind), name in zip(kept, cols):
-            out = F.when(e["name"].isin(*names), _cast(e["value"], kind).isNull()).otherwise(out)
-        return out
-
-    left = F.filter("_kv", unfit)
-    keys = F.array_distinct(F.transform(left, lambda e: e["name"]))
-    rescued = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(left, lambda e: e["name"] == k), -1)["value"]))
+        at = F.nullif(F.array_position("_own", F.lit(name)), F.lit(0)).cast("int")
+        typed[name] = _cast(F.try_element_at("vals", at), kind, F.coalesce(F.array_contains("_coins", F.try_element_at("names", at)), F.lit(False)))
+        left[name] = (at, F.try_element_at("vals", at))
+    d = d.withColumns({f"_t_{k}": v for k, v in typed.items()})
+    unheld = F.array_compact(F.array(*(F.when(v.isNotNull() & F.col(f"_t_{k}").isNull(), at) for k, (at, v) in left.items())))
+    outside = F.filter(F.transform("_own", lambda o, i: F.when(~o.isin(*rules.target), i + 1)), lambda i: i.isNotNull())
+    at = F.filter(F.concat(unheld, outside), lambda i: F.try_element_at(F.col("vals"), i).isNotNull())
+    d = d.withColumn("_at", at)
+    keys = F.array_distinct(F.transform("_at", lambda i: F.element_at("names", i)))
+    rescued = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at("vals", F.array_position("names", k).cast("int"))))
     return d.select(
         "file_id",
         "line_no",
         *(F.col(f"_t_{k}").cast(_SPARK_TYPE.get(t, t)).alias(k) for k, t in rules.target.items()),
-        F.when(F.col("kv").isNull(), F.to_json(F.create_map(F.lit("_line"), F.coalesce("line", F.lit("")))))
-        .when(F.size(left) > 0, F.to_json(rescued))
+        F.when(F.col("vals").isNull(), F.to_json(F.create_map(F.lit("_line"), F.coalesce("line", F.lit("")))))
+        .when(F.size("_at") > 0, F.to_json(rescued))
         .alias("_rescued"),
     )
 
@@ -191,11 +204,11 @@ def promote(table: DataFrame, fields: dict[str, str], aliases: dict[str, tuple[s
     """Replay rescued values into new typed columns.
 
     fields: approved name -> type as in the target. Values the type can't
-    hold stay in ``_rescued``; the others leave it. A name that is a column
-    already is filled only where it is null.
+    hold stay in ``_rescued``; the others leave it. A bare integer is a whole
+    amount. A name that is a column already is filled only where it is null.
     """
     for name, kind in fields.items():
-        names = [name, *(aliases or ALIASES).get(name, ())]
+        names = [name, *(ALIASES if aliases is None else aliases).get(name, ())]
         m = F.from_json("_rescued", "map<string,string>")
         raw = F.coalesce(*(m[n] for n in names))
         value = _cast(raw, kind)
@@ -207,20 +220,6 @@ def promote(table: DataFrame, fields: dict[str, str], aliases: dict[str, tuple[s
     return table
 
 
-def field_kinds(parsed: DataFrame, rules: DriftRules = DriftRules()) -> DataFrame:
-    """file_id, field, kind (null: no values), values. Pre-aggregated on the map side: a file's lines never gather in one task."""
-    cells = parsed.where("kv is not null").select("file_id", F.explode("kv").alias("e")).select("file_id", F.col("e.name").alias("field"), value_kind("e.value").alias("kind"))
-    heads = parsed.where("head is not null").groupBy("file_id").agg(F.first("head").alias("head")).select("file_id", F.explode("head").alias("field"), F.lit(None).cast("string").alias("kind"))
-    kinds = ("integer", "decimal", "timestamp", "text")
-    n = cells.unionByName(heads).groupBy("file_id", "field").agg(*(F.count_if(F.col("kind") == k).alias(k) for k in kinds))
-    total = sum((F.col(k) for k in kinds[1:]), F.col(kinds[0]))
-    best = F.greatest(*kinds)
-    sure = F.lit(None).cast("string")
-    for k in kinds:
-        sure = F.when((F.col(k) == best) & (F.col(k) >= rules.min_share * total), k).otherwise(sure)
-    return n.select("file_id", "field", F.when(total > 0, sure).alias("kind"), total.alias("values"))
-
-
 def _canonical(v: Column) -> Column:
     """A value without its style, to compare a trip's values under two names."""
     digits = F.regexp_extract(v, r"([0-9]+(?:\.[0-9]+)?)", 1)
@@ -231,29 +230,31 @@ def _canonical(v: Column) -> Column:
 def schema_changes(parsed: DataFrame, files: DataFrame, rules: DriftRules = DriftRules()) -> DataFrame:
     """file_id, field, change (added, removed, renamed, retyped) against the feed's file before.
 
-    Two names are one field if ``rules.aliases`` says so. Any other removed and
-    added name of one file, of which one at least is in no list, are matched if
-    the trips that both files hold carry the same values under both. A name
-    so matched stands for its field in the feed's later files.
+    A removed and an added name of one file are matched if the trips that both
+    files hold carry the same values under both, the rescued values of an
+    unknown name being replayed into the type of the field it may stand for;
+    two names that ``rules.aliases`` gives to one field, or to different ones,
+    need no values. A name so matched stands for its field in the feed's later
+    files.
     """
     order = W.partitionBy("feed").orderBy("delivered_at", "file_id")
     seq = files.where("feed is not null").select("file_id", "feed", F.row_number().over(order).alias("seq"), F.lead("file_id").over(order).alias("next_id"))
-    kinds = field_kinds(parsed, rules).join(seq, "file_id").select("feed", "seq", "file_id", "next_id", "field", "kind", rules.logical(F.col("field")).alias("logical"))
-    kinds = materialise(kinds)  # a row a file and field: the lines are parsed once for all that follows
+    counted = materialise(field_kinds(parsed, rules))  # a row a file and field
+    kinds = counted.join(seq, "file_id").select("feed", "seq", "file_id", "next_id", "field", "kind", rules.logical(F.col("field")).alias("logical"))
     cur = kinds.select("feed", "file_id", "field", "kind", "logical")
-    prev = kinds.where("next_id is not null").select("feed", F.col("next_id").alias("file_id"), F.col("field").alias("old"), F.col("kind").alias("p_kind"), "logical")
+    prev = kinds.where("next_id is not null").select("feed", F.col("next_id").alias("file_id"), F.col("file_id").alias("before"), F.col("field").alias("old"), F.col("kind").alias("p_kind"), "logical")
     open_ = [x.join(y.select("file_id", "logical"), ["file_id", "logical"], "left_anti") for x, y in ((prev, cur), (cur.join(prev.select("file_id").distinct(), "file_id"), prev))]
     listed = lambda c: F.col(c).isin(*_listed(rules))
-    offer = open_[0].select("file_id", "feed", "old").join(open_[1].select("file_id", F.col("field").alias("new")), "file_id").where(~(listed("old") & listed("new")))
+    offer = open_[0].select("file_id", "feed", "before", "old").join(open_[1].select("file_id", F.col("field").alias("new")), "file_id").where(~(listed("old") & listed("new")))
     known = F.when(listed("old"), rules.logical(F.col("old"))).when(listed("new"), rules.logical(F.col("new")))
-    offer = offer.select("feed", "file_id", "old", "new", known.alias("logical"), F.lit(False).alias("teaches"))
+    offer = offer.select("feed", "file_id", "before", "old", "new", known.alias("logical"), F.lit(False).alias("teaches"))
     coded = [k for k, t in rules.target.items() if t == "string"]
     teach = cur.where(F.col("logical").isin(*coded)).join(prev, ["feed", "file_id", "logical"]).where("kind <> p_kind")
-    offer = materialise(offer.unionByName(teach.select("feed", "file_id", "old", F.col("field").alias("new"), "logical", F.lit(True).alias("teaches"))))
+    offer = materialise(offer.unionByName(teach.select("feed", "file_id", "before", "old", F.col("field").alias("new"), "logical", F.lit(True).alias("teaches"))))
     if offer.where("not teaches").isEmpty():  # no name is left to explain: no need to read the lines again
         moved = offer.select("feed", "file_id", "old", "new", F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("agree")).limit(0)
     else:
-        moved = _moved(parsed, seq, offer, rules)
+        moved = _moved(parsed, counted, offer, rules)
     fields = seq.select("feed", "seq", "file_id").join(kinds.select("file_id", "field", "kind"), "file_id", "left")
     return fields.groupBy("feed").cogroup(moved.groupBy("feed")).applyInPandas(_walk(rules), "file_id bigint, field string, change string")
 
@@ -300,29 +301,42 @@ def _walk(rules: DriftRules):
     return walk
 
 
-def _moved(parsed: DataFrame, seq: DataFrame, offer: DataFrame, rules: DriftRules) -> DataFrame:
+def _moved(parsed: DataFrame, kinds: DataFrame, offer: DataFrame, rules: DriftRules) -> DataFrame:
     """feed, file_id, old, new, n, agree: the offered names whose values agree over shared trips.
 
-    Values agree if they are the same but for style, or the same in the type of
-    the target's field (cents and whole amounts, seconds and dates), or if the
-    files that retype the field under listed names turn one into the other (1
-    and standard).
+    Only the offered names of the files that have an offer leave the conformed
+    table: a field of the target as its typed column, any other name out of
+    ``_rescued``. Values agree if they are the same but for style, if the
+    rescued one replayed into the field's type is the typed one, or if the files
+    that retype the field under listed names turn one into the other (1 and
+    standard).
     """
-    ref = _value_of(F.col("kv"), [rules.key])
-    cell = parsed.where("kv is not null").select("file_id", ref.alias("ref"), F.explode("kv").alias("e")).where(~is_absent("e.value") & F.col("ref").isNotNull()).select("file_id", "ref", F.col("e.name").alias("name"), F.col("e.value").alias("value"))
-    after = cell.join(offer.withColumn("name", F.col("new")), ["file_id", "name"]).withColumnRenamed("value", "v_new").drop("name")
-    nxt = seq.where("next_id is not null").select("file_id", "next_id")
-    ahead = cell.join(nxt, "file_id").select(F.col("next_id").alias("file_id"), "ref", F.col("name").alias("old"), F.col("value").alias("v_old")).join(offer.select("file_id", "old").distinct(), ["file_id", "old"])
-    both = after.join(ahead, ["file_id", "ref", "old"]).withColumns({"a": _canonical(F.col("v_old")), "b": _canonical(F.col("v_new"))})
+    own = lambda c: rules.logical(F.col(c))
+    sides = offer.select("file_id", F.col("new").alias("name")).unionByName(offer.select(F.col("before").alias("file_id"), F.col("old").alias("name"))).distinct()
+    wanted = sides.groupBy("file_id").agg(F.collect_set("name").alias("_wanted"))  # at most a file's names
+    lines = conform(parsed.join(wanted.select("file_id"), "file_id", "left_semi"), rules, kinds).where(F.col(rules.key).isNotNull())
+    typed = F.array(*(F.struct(F.lit(k).alias("field"), F.date_format(k, "yyyy-MM-dd HH:mm:ss").alias("value") if t == "timestamp_ntz" else F.col(k).cast("string").alias("value")) for k, t in rules.target.items()))
+    rescued = F.coalesce(F.from_json("_rescued", "map<string,string>"), F.create_map().cast("map<string,string>"))
+    lines = lines.join(wanted, "file_id").select("file_id", F.col(rules.key).alias("ref"), "_wanted", typed.alias("_typed"), rescued.alias("_m"))
+    named = lines.select("file_id", "ref", F.explode("_wanted").alias("name"), "_typed", "_m")
+    held = F.try_element_at(F.transform(F.filter("_typed", lambda e: e["field"] == own("name")), lambda e: e["value"]), F.lit(1))
+    cell = named.select("file_id", "ref", "name", F.coalesce(held, F.try_element_at("_m", F.col("name"))).alias("value")).where("value is not null")
+    coins = kinds.where("kind = 'integer'").select("file_id", F.col("field").alias("name"), F.lit(True).alias("cents"))
+    cell = cell.join(coins, ["file_id", "name"], "left").withColumn("cents", F.coalesce("cents", F.lit(False)))
+    after = cell.withColumnsRenamed({"name": "new", "value": "v_new", "cents": "c_new"})
+    ahead = cell.withColumnsRenamed({"file_id": "before", "name": "old", "value": "v_old", "cents": "c_old"})
+    both = offer.join(after, ["file_id", "new"]).join(ahead, ["before", "old", "ref"]).withColumns({"a": _canonical(F.col("v_old")), "b": _canonical(F.col("v_new"))})
     both = materialise(both)  # a row a shared trip and offered pair
     met = both.where("teaches and a <> b")
     codes = met.select("logical", "a", "b").unionByName(met.select("logical", F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("logical", "a", "b").agg(F.count(F.lit(1)).alias("times"))
     codes = codes.withColumn("share", F.col("times") / F.sum("times").over(W.partitionBy("logical", "a"))).where(F.col("share") >= rules.min_agree).select("logical", "a", "b", F.lit(True).alias("coded"))
     kind = F.create_map(*(F.lit(x) for kv in rules.target.items() for x in kv))[F.col("logical")]
-    typed = F.lit(False)
+    # the unknown side is replayed; the known one is in the field's type already
+    replay = lambda name, v, c, t: F.when(own(name) == F.col("logical"), _cast(F.col(v), t)).otherwise(_cast(F.col(v), t, F.col(c)))
+    same_typed = F.lit(False)
     for t in ("money", "zone", "timestamp_ntz"):
-        typed = F.when(kind == t, _cast(F.col("v_old"), t) == _cast(F.col("v_new"), t)).otherwise(typed)
-    same = (F.col("a") == F.col("b")) | F.coalesce(typed, F.lit(False)) | F.coalesce("coded", F.lit(False))
+        same_typed = F.when(kind == t, replay("old", "v_old", "c_old", t) == replay("new", "v_new", "c_new", t)).otherwise(same_typed)
+    same = (F.col("a") == F.col("b")) | F.coalesce(same_typed, F.lit(False)) | F.coalesce("coded", F.lit(False))
     score = both.where("not teaches").join(codes, ["logical", "a", "b"], "left").groupBy("feed", "file_id", "old", "new")
     score = score.agg(F.count(F.lit(1)).alias("n"), F.avg(same.cast("double")).alias("agree"), F.count_distinct("b").alias("d"))
     return score.where((F.col("n") >= rules.min_shared) & (F.col("agree") >= rules.min_agree) & (F.col("d") > 1)).drop("d")

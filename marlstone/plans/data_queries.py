@@ -52,14 +52,15 @@ def _profile_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 def p2_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts, groups = _profile_inputs(spark, sf_dir)
-    return column_profile.profile(counts, groups).drop("grp").withColumnRenamed("load", "load_id")
+    p = column_profile.profile(counts, groups).drop("grp").withColumnRenamed("load", "load_id")
+    return p.withColumns({c: F.round(c, 6) for c in ("mean_sound", "top_share", "ks")})
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts, groups = _profile_inputs(spark, sf_dir)
     prof = column_profile.profile(counts, groups)
     shares = column_profile.zone_shares(counts, groups, "pu_location")
-    found = column_profile.off_loads(prof, shares, groups, PROFILE_RULES)
+    found = column_profile.off_loads(prof, shares, PROFILE_RULES)
     return found.select(F.col("load").alias("load_id"), "field", "aspect")
 
 
@@ -104,8 +105,33 @@ _ZONE_SQL = r"""try_cast(nullif(regexp_extract({c}, '^\s*(?:[Zz][Oo][Nn][Ee]-?|[
 _ZONE_ROWS_SQL = " union all ".join(f"select '{c}' as field, {_ZONE_SQL.format(c=c)} as zone_id, case when isnan(fare_amount) then null else fare_amount end as fare from trips" for c in ("pu_location", "do_location"))
 
 
+_PROFILE_SQL = f"""
+with pu as (select load_id, pu_location as t, {_ZONE_SQL.format(c="pu_location")} as z from trips),
+     amount as (select load_id, case when isnan(total_amount) then null else total_amount end as v from trips),
+     cells as (
+       select load_id, 'passenger_count' as field, cast(passenger_count as varchar) as t, passenger_count::double as x, coalesce(passenger_count between 1 and 9, false) as in_range, true as well from trips
+       union all select load_id, 'total_amount', cast(v as varchar), v, coalesce(v between 0 and 500, false), true from amount
+       union all select load_id, 'pu_location', t, z::double, coalesce(z in (select zone_id from zones), false), coalesce(regexp_matches(t, '^[1-9][0-9]*$'), false) from pu),
+     c as (select cells.*, depot as grp, t is not null and in_range and well and x is not null as sound from cells left join trip_loads using (load_id)),
+     base as (
+       select field, load_id, count(*) as n_rows, count(*) filter (t is null) as n_null, count(distinct t) as n_distinct, count(*) filter (t is not null and not in_range) as n_out,
+         count(*) filter (t is not null and not well) as n_malformed, count(*) filter (sound) as n_sound, round(avg(x) filter (sound), 6) as mean_sound, min(x) filter (t is not null) as lo, max(x) filter (t is not null) as hi,
+         quantile_disc(x, 0.0) filter (sound) as q_0, quantile_disc(x, 0.25) filter (sound) as q_25, quantile_disc(x, 0.5) filter (sound) as q_50, quantile_disc(x, 0.75) filter (sound) as q_75, quantile_disc(x, 1.0) filter (sound) as q_100
+       from c group by field, load_id),
+     n as (select field, grp, load_id, x, count(*) as n from c where sound group by all),
+     one as (select *, sum(n) over (partition by field, grp, load_id order by x) as upto, sum(n) over (partition by field, grp, load_id) as size from n),
+     every as (select field, grp, x, sum(sum(n)) over (partition by field, grp order by x) as upto, sum(n) as n, sum(sum(n)) over (partition by field, grp) as size from n group by field, grp, x),
+     gaps as (
+       select o.field, o.load_id, o.n / o.size as part, greatest(abs((o.upto - o.n) / o.size - (e.upto - e.n - o.upto + o.n) / (e.size - o.size)), abs(o.upto / o.size - (e.upto - o.upto) / (e.size - o.size))) as gap
+       from one o join every e on o.field = e.field and o.grp is not distinct from e.grp and o.x = e.x),
+     far as (select field, load_id, round(max(part), 6) as top_share, round(max(gap), 6) as ks from gaps group by all)
+select base.*, far.top_share, far.ks from base left join far on base.field = far.field and base.load_id is not distinct from far.load_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p2_profile": _PROFILE_SQL,
         "p5_found": f"with r as ({_ZONE_ROWS_SQL}) select field, zone_id from r where zone_id in (select zone_id from zones) group by all having count(*) > 0.02 * (select count(*) from trips)",
         "p5_zone_results": f"with r as ({_ZONE_ROWS_SQL}) select field, zone_id, count(*) as n, round(sum(fare), 2) as fares, any_value(district) as district from r join zones using (zone_id) group by all",
     }

@@ -120,6 +120,37 @@ def test_drift_conforms_rescues_and_promotes(spark):
     assert p.tolls_amount == 3.05 and "toll_total" not in p._rescued and "extra" in p._rescued
 
 
+def test_drift_reads_money_by_the_kind_of_the_files_field(spark):
+    lines = {
+        1: ["trip_ref,fare_amount", *(f"{i},{i}.50" for i in range(1, 12)), "12,12"],
+        2: ["trip_ref,fare_amount", *(f"{i},{i}50" for i in range(1, 12))],
+        3: [*(f'{{"trip_ref": {i}, "fare_amount": {i}.25}}' for i in range(2, 12)), '{"trip_ref": 1, "fare_amount": 1}'],
+    }
+    f = files(spark, (1, "a", "csv", ",", 0), (2, "a", "csv", ",", 1), (3, "b", "jsonl", None, 1))
+    got = {(r.file_id, r.trip_ref): r.fare_amount for r in D.conform(D.parse_lines(raw(spark, lines), f)).collect()}
+    assert (got[1, 12], got[1, 2], got[2, 3], got[3, 1], got[3, 4]) == (12.0, 2.5, 3.5, 1.0, 4.25)
+
+
+def test_drift_finds_renames_by_rescued_values_alone(spark):
+    fee = ["0.80", "1.20", "1.65", "0.80", "1.20"]
+    lines = {
+        1: ["trip_ref,ehail_fee,vendor", *(f"{i},{v},x" for i, v in enumerate(fee))],
+        2: ["trip_ref,app_fee,vendor", *(f"{i},{round(float(v) * 100)},x" for i, v in enumerate(fee))],
+    }
+    f = files(spark, (1, "a", "csv", ",", 0), (2, "a", "csv", ",", 1))
+    p = D.parse_lines(raw(spark, lines), f)
+    got = {tuple(r) for r in D.schema_changes(p, f, D.DriftRules(aliases={})).collect()}
+    assert got == {(2, "app_fee", "renamed"), (2, "app_fee", "retyped")}
+
+
+def test_drift_odd_lines(spark):
+    lines = {1: ["a,a,trip_ref", "1,2,3", "4", '"x,y",5,6', "7,8,9"], 2: [], 5: ["b,c"], 9: ["no,file"]}
+    f = files(spark, (1, "a", "csv", ",", 0), (2, "a", "csv", ",", 1), (5, "a", "csv", ",", 2))
+    t = D.conform(D.parse_lines(raw(spark, lines), f))
+    got = {(r.file_id, r.line_no): (r.trip_ref, r._rescued) for r in t.collect()}
+    assert got == {(1, 2): (3, '{"a":"2"}'), (1, 3): (None, '{"_line":"4"}'), (1, 4): (6, '{"a":"5"}'), (1, 5): (9, '{"a":"8"}'), (9, 1): (None, '{"_line":"no,file"}')}
+
+
 def test_drift_on_empty_tables(spark):
     f = files(spark).where("false")
     p = D.parse_lines(raw(spark, {1: ["x"]}).where("false"), f)
@@ -156,10 +187,36 @@ def test_profile_off_loads(spark):
     rows = [(k, float(x % 20 + 1), "t") for k in range(5) for x in range(200)]
     rows = [(k, None if k == 2 and i % 3 == 0 else v * 3 if k == 4 else v, t) for i, (k, v, t) in enumerate(rows)]
     counts, groups = _profile(spark, rows)
-    off = C.off_loads(C.profile(counts, groups), C.zone_shares(counts, groups, "v"), groups, {"v": {"nulls": 0.1, "range": 0.05, "median": 0.4}})
+    off = C.off_loads(C.profile(counts, groups), C.zone_shares(counts, groups, "v"), {"v": {"nulls": 0.1, "range": 0.05, "median": 0.4}})
     assert {tuple(r) for r in off.collect()} == {(2, "v", "nulls"), (4, "v", "distribution")}
 
 
+def test_profile_of_loads_outside_the_table_of_loads(spark):
+    rows = [(k, float(x % 20 + 1) * (3 if k is None else 1), "t") for k in (None, 7, 8, 9) for x in range(100)]
+    df = spark.createDataFrame(rows, "load_id bigint, v double, text string")
+    v = S.real_number("v")
+    counts = C.value_counts(df, "load_id", {"v": {"text": v, "number": v, "in_range": v.between(0, 100), "well_formed": F.lit(True)}})
+    groups = spark.createDataFrame([(50, "elsewhere")], "load bigint, grp string")
+    prof = C.profile(counts, groups)
+    got = {r.load: (r.q_50, r.ks) for r in prof.collect()}
+    assert {k: q for k, (q, _) in got.items()} == {None: 30.0, 7: 10.0, 8: 10.0, 9: 10.0}
+    assert got[None][1] == pytest.approx(0.7) and got[7][1] > 0.2
+    off = C.off_loads(prof, C.zone_shares(counts, groups, "v"), {"v": {"median": 0.4, "share": 0.04}})
+    assert {tuple(r) for r in off.collect()} == {(None, "v", "distribution")}
+
+
+@pytest.mark.parametrize("width", ["1", "7"])
+def test_ranks_do_not_depend_on_the_partitions(spark, width):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    try:
+        counts = spark.createDataFrame([("v", "g", k, float(x), 1 + x % 3) for k in range(3) for x in range(50 * (1 + 20 * (k == 1)))], "field string, grp string, load bigint, number double, n bigint")
+        got = {(r.load, r.number): r.below for r in C.ranked_curves(counts).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(got) == 1150 and all(b == sum(1 + y % 3 for y in range(int(x))) for (k, x), b in got.items())
+
+
 def test_profile_all_null_and_empty(spark):
     counts, groups = _profile(spark, [(1, None, "t")])
     r = C.profile(counts, groups).first()
@@ -189,15 +246,53 @@ def test_spikes_name_the_faulty_reading(spark):
     assert found(spark, rows) == {(50, "trip_distance"), (90, "fare_amount"), (130, "lpep_dropoff_datetime"), (170, "lpep_dropoff_datetime"), (210, "fare_amount")}
 
 
-@pytest.mark.parametrize("hot_rows", [500_000, 8])
-def test_spikes_stuck_runs(spark, hot_rows):
+@pytest.mark.parametrize("block", [500_000, 8])
+def test_spikes_stuck_runs(spark, block):
     rows = [trip(i, minutes=15 * i, dist=1 + i / 10, dur=5 * (1 + i / 10)) for i in range(30)]
     stuck = lambda i: tuple(2.22 if n == 8 else v for n, v in enumerate(rows[i]))
     for i in (*range(3, 9), *range(20, 25)):  # six in a row; five in a row
         rows[i] = stuck(i)
     again = list(rows[4])
     again[0] = 100  # the trip sent again
-    assert {x for x in found(spark, [*rows, tuple(again)], hot_rows=hot_rows, beyond=1e9) if x[1] == "trip_distance"} == {(i, "trip_distance") for i in (3, 4, 5, 6, 7, 8, 100)}
+    assert {x for x in found(spark, [*rows, tuple(again)], block=block, beyond=1e9) if x[1] == "trip_distance"} == {(i, "trip_distance") for i in (3, 4, 5, 6, 7, 8, 100)}
+
+
+@pytest.mark.parametrize("block", [500_000, 8])
+def test_spikes_count_a_trip_sent_again_once(spark, block):
+    rows = [trip(i, minutes=15 * i, dist=2.22 if 10 <= i < 15 else 1 + i / 10, dur=20 * (1 + i / 10)) for i in range(30)]
+    later = list(rows[12])
+    later[0], later[5], later[6] = 100, later[5] + timedelta(minutes=70), later[6] + timedelta(minutes=70)  # five equal trips, one of them again with another pickup
+    assert found(spark, [*rows, tuple(later)], block=block, beyond=1e9) == set()
+    sixth = [trip(15, minutes=15 * 15, dist=2.22, dur=50.0)]
+    got = found(spark, [*rows[:15], *sixth, *rows[16:], tuple(later)], block=block, beyond=1e9)
+    assert got == {(i, "trip_distance") for i in (*range(10, 16), 100)}
+
+
+def test_spikes_of_a_drifting_source_need_the_filter(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for day in range(120):
+        up = 3.2 ** (day / 119)  # the tariff more than trebles
+        for k in range(12):
+            d = float(np.round(np.exp(rng.normal(0.7, 0.5)), 2))
+            t = round(d / 0.2 * rng.uniform(0.75, 1.25), 2)
+            rows.append(trip(len(rows), minutes=1440 * day + 60 * k, dist=d, dur=t, fare=round(up * (3 + 2 * d + 0.3 * t) * rng.uniform(0.98, 1.02), 2), meter=f"m{k}"))
+    at = 12 * 117 + 4
+    low = list(rows[at])
+    low[11] = round(low[11] / 3, 2)  # the fare of the first days
+    rows[at] = tuple(low)
+    assert found(spark, rows) == {(at, "fare_amount")}
+    assert (at, "fare_amount") not in found(spark, rows, drift=0.0)
+
+
+def test_kalman_looks_back_only():
+    rng = np.random.default_rng(2)
+    n = 40
+    mid, spread, count = rng.normal(0, 0.02, n).cumsum(), np.full(n, 0.1), np.full(n, 30.0)
+    whole = P.follow(np.arange(n), count, mid, spread, P.SpikeRules())[0]
+    bent = mid.copy()
+    bent[25:] += 1.0
+    assert np.array_equal(P.follow(np.arange(n), count, bent, spread, P.SpikeRules())[0][:26], whole[:26])
 
 
 def test_spikes_odd_input(spark):
