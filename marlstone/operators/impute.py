@@ -5,8 +5,9 @@ the meter's other trips of the same shift, the other records of the same trip,
 the source's other trips at the same hour on days nearby. Pair counts of all
 nodes come from one pass; the maximum spanning tree of their mutual
 information is the model; exact message passing gives the posterior of every
-missing node, decoded to the mode or, for a discretised field, to the median
-of the likeliest bin.
+missing node, decoded to the mode or, for a discretised field, to a value of
+the likeliest bin: that of the like records if theirs lies in it, else the bin's
+median.
 
 Defined results in odd cases
 - null, NaN and stand-ins are missing; each missing field of each record gets
@@ -14,6 +15,9 @@ Defined results in odd cases
 - without any like record the tree falls back on the field's own distribution;
   a field without a single real value in the table gets a null fill;
 - records without meter or pickup have no shift; ties go to the smaller value;
+- no value and no source is outside the model: rare amounts share a bin, rare
+  sources a code of the tree, while the like records are found by the source
+  and the amount themselves;
 - an empty table gives no rows; further columns are ignored.
 """
 
@@ -149,7 +153,7 @@ def posteriors(tree: Tree, codes: np.ndarray, wanted: list[int]) -> dict[int, np
 
 
 def fill(missing: DataFrame, nodes: list[Node], tree: Tree, targets: dict[str, list[str]], keep: list[str]) -> DataFrame:
-    """keep, field, fill, probability: one row a missing target of a row; targets: node name -> texts of its codes."""
+    """keep, field, code, fill, probability: one row a missing target of a row; targets: node name -> texts of its codes."""
     names = [n.name for n in nodes]
     at = {t: names.index(t) for t in targets}
 
@@ -165,11 +169,11 @@ def fill(missing: DataFrame, nodes: list[Node], tree: Tree, targets: dict[str, l
                 best = p.argmax(1)
                 out = pdf.loc[lack, keep].copy()
                 texts = targets[t]
-                out["field"], out["fill"], out["probability"] = t, [texts[b] if b < len(texts) else None for b in best], p[np.arange(len(p)), best]
+                out["field"], out["code"], out["fill"], out["probability"] = t, best, [texts[b] if b < len(texts) else None for b in best], p[np.arange(len(p)), best]
                 yield out
 
     kinds = ", ".join(f"`{k}` {missing.schema[k].dataType.simpleString()}" for k in keep)
-    return missing.select(*keep, *(n for n in names if n not in keep)).mapInPandas(run, f"{kinds}, field string, fill string, probability double")
+    return missing.select(*keep, *(n for n in names if n not in keep)).mapInPandas(run, f"{kinds}, field string, code bigint, fill string, probability double")
 
 
 # ---------------------------------------------------------------- like records
@@ -189,32 +193,98 @@ def _mode_without(counts: list[Column], own: Column) -> Column:
     return F.when(top > 0, code).otherwise(F.lit(-1))
 
 
-def coded_trips(trips: DataFrame, extras: list[float], vendors: list[str], gap_h: int = 3, near_days: int = 3) -> DataFrame:
-    """record_id and a code column per node.
+@dataclass(frozen=True)
+class Bins:
+    """Bins of an amount: lower edges in order, and the median of each bin."""
+
+    edges: tuple[float, ...]
+    medians: tuple[float, ...]
+
+    def code(self, v: Column) -> Column:
+        """Bin of a value; -1 for null."""
+        out = F.lit(-1)
+        for k, e in enumerate(self.edges):
+            out = F.when(v >= e, k).otherwise(out) if k == 0 else F.when(v < e, out).otherwise(k)
+        return F.when(v.isNotNull(), out).otherwise(-1).cast("int")
+
+
+def quantile_bins(counts: list[tuple[float, int]], most: int) -> Bins:
+    """At most ``most`` bins of (value, rows): a value with a bin's share of the rows is a bin of its own, the values between share quantile bins."""
+    counts = sorted(counts)
+    total = sum(n for _, n in counts)
+    fair = total / max(1, most // 2)
+    groups: list[list[tuple[float, int]]] = []
+    load, alone = 0, True
+    for v, n in counts:
+        own = n >= fair or len(counts) <= most
+        if not groups or own or alone or load + n > fair:
+            groups.append([])
+            load = 0
+        groups[-1].append((v, n))
+        load, alone = load + n, own
+    return Bins(tuple(g[0][0] for g in groups), tuple(_median(g) for g in groups))
+
+
+def _median(group: list[tuple[float, int]]) -> float:
+    half, seen = sum(n for _, n in group) / 2, 0
+    for v, n in group:
+        seen += n
+        if seen >= half:
+            return v
+    return group[-1][0]
+
+
+def _like_amounts(t: DataFrame) -> DataFrame:
+    """t with ``extra_near``: the amount that the source's other trips of the same hour show on days nearby; null if none does.
+
+    Counts by (source, hour, weekend, day, amount) go to the days within three,
+    own day first; the two best of a day (and of all days, for a day without
+    any) are enough to leave the record itself out.
+    """
+    key = ["vendor", "hour", "weekend"]
+    seen = t.where("vendor is not null and hour >= 0 and extra is not null").groupBy(*key, "day", "extra").agg(F.count(F.lit(1)).alias("n"))
+    seen = materialise(seen)  # a row a source, hour, day and amount
+    total = seen.groupBy(*key, "extra").agg(F.sum("n").alias("total"))
+    weights = {-3: 1, -2: 1, -1: 5, 0: 13, 1: 5, 2: 1, 3: 1}  # fixed values: own day 8 + 4 + 1, next days 4 + 1, days nearby 1
+    spread = F.explode(F.array(*(F.struct(F.lit(d).alias("d"), F.lit(w).alias("w")) for d, w in weights.items())))
+    near = seen.withColumn("s", spread).groupBy(*key, F.date_add("day", F.col("s.d")).alias("day"), "extra").agg(F.sum(F.col("n") * F.col("s.w")).alias("w"))
+    near = near.join(total, [*key, "extra"])
+
+    def two(df: DataFrame, by: list[str], *order: str) -> DataFrame:
+        first = df.withColumn("k", F.row_number().over(W.partitionBy(*by).orderBy(*(F.desc(o) for o in order), "extra"))).where("k <= 2")
+        return first.groupBy(*by).agg(*(F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{c}_{order[0]}{k}") for k in (1, 2) for c in ("extra", order[0])))
+
+    t = t.join(two(near, [*key, "day"], "w", "total"), [*key, "day"], "left").join(two(total, key, "total"), key, "left")
+    own = lambda c: F.coalesce(F.col("extra") == F.col(c), F.lit(False))
+    left = F.when(own("extra_w1"), F.col("w_w1") - weights[0]).otherwise(F.col("w_w1"))
+    best = F.when((left > 0) & (left >= F.coalesce("w_w2", F.lit(0))), F.col("extra_w1")).otherwise(F.col("extra_w2"))
+    rest = F.when(own("extra_total1"), F.col("total_total1") - 1).otherwise(F.col("total_total1"))
+    any_day = F.when((rest > 0) & (rest >= F.coalesce("total_total2", F.lit(0))), F.col("extra_total1")).otherwise(F.col("extra_total2"))
+    return t.withColumn("extra_near", F.coalesce(best, any_day)).drop(*(f"{c}_{o}{k}" for o in ("w", "total") for c in ("extra", o) for k in (1, 2)))
+
+
+def coded_trips(trips: DataFrame, gap_h: int = 3) -> DataFrame:
+    """record_id, vendor, the amounts (extra, extra_twin, extra_near) and a code column for each other node.
 
     Shift: hours of a meter with trips, without a break of more than gap_h
     hours; found on counts by (meter, hour), so a meter with a third of all rows
-    is spread over its hours. Days nearby: counts by (source, hour of day,
-    weekend, date), the same day weighing most.
+    is spread over its hours.
     """
     hour = F.hour("lpep_pickup_datetime")
-    idx = lambda c, values: F.coalesce(F.array_position(F.array(*(F.lit(v) for v in values)), c) - 1, F.lit(-1)).cast("int") if values else F.lit(-1)
-    pc = S.real_passengers("passenger_count")
+    pc, pay = S.real_passengers("passenger_count"), F.array(*(F.lit(v) for v in S.PAYMENT_TYPES))
     t = trips.select(
-        "record_id", "trip_id", "meter_id",
+        "record_id", "trip_id", "meter_id", "vendor",
         F.date_trunc("hour", "lpep_pickup_datetime").alias("slot"),
         F.coalesce(pc - 1, F.lit(-1)).cast("int").alias("passenger_count"),
-        idx(S.real_payment("payment_type"), S.PAYMENT_TYPES).alias("payment_type"),
-        idx(F.round(S.real_extra("extra"), 2), extras).alias("extra"),
-        idx(F.col("vendor"), vendors).alias("vendor"),
+        F.coalesce(F.array_position(pay, S.real_payment("payment_type")) - 1, F.lit(-1)).cast("int").alias("payment_type"),
+        F.round(S.real_extra("extra"), 2).alias("extra"),
         F.coalesce(hour, F.lit(-1)).alias("hour"),
         F.coalesce((F.weekday("lpep_pickup_datetime") >= 5).cast("int"), F.lit(-1)).alias("weekend"),
         F.to_date("lpep_pickup_datetime").alias("day"),
-        (S.real_extra("extra").isNull()).alias("no_extra"),
     )
     # other records of the same trip stand in the same hour of the same meter
     twin = W.partitionBy("meter_id", "slot", "trip_id")
-    other = lambda c: F.when(F.count_if(F.col(c) >= 0).over(twin) > F.when(F.col(c) >= 0, 1).otherwise(0), F.max(c).over(twin)).otherwise(F.lit(-1))
+    other = lambda c: F.when(F.count_if(F.col(c) >= 0).over(twin) > F.when(F.col(c) >= 0, 1).otherwise(0), F.max(c).over(twin))
     t = t.repartition("meter_id", "slot")
     sizes = {"passenger_count": 9, "payment_type": len(S.PAYMENT_TYPES)}
     h = {f: [f"{f}_{k}" for k in range(n)] for f, n in sizes.items()}
@@ -225,53 +295,42 @@ def coded_trips(trips: DataFrame, extras: list[float], vendors: list[str], gap_h
     slots = slots.withColumn("broken", broken.cast("int")).withColumn("shift", F.sum("broken").over(w))
     flat = [a for names in h.values() for a in names]
     slots = slots.select("meter_id", "slot", *(F.sum(a).over(shift).alias(a) for a in flat))
-    t = t.withColumns({f"{f}_twin": other(f) for f in (*sizes, "extra")}).join(slots, ["meter_id", "slot"], "left")
+    t = t.withColumns({f"{f}_twin": F.coalesce(other(f), F.lit(-1)) for f in sizes} | {"extra_twin": other("extra")}).join(slots, ["meter_id", "slot"], "left")
     t = t.withColumns({f"{f}_shift": F.coalesce(_mode_without([F.col(a) for a in h[f]], F.col(f)), F.lit(-1)) for f in sizes}).drop(*flat)
-    # the source's tariff of the hour on days nearby
-    e = [f"e_{k}" for k in range(len(extras))]
-    if not e:
-        return t.withColumn("extra_near", F.lit(-1))
-    key = ["vendor", "hour", "weekend"]
-    days = t.where("vendor >= 0 and hour >= 0").groupBy(*key, "day").agg(*(c.alias(a) for c, a in zip(_hist(F.col("extra"), len(e)), e)))
-    number = F.datediff("day", F.lit("1970-01-01"))
-    around = lambda n: W.partitionBy(*key).orderBy(number).rangeBetween(-n, n)
-    # own day 8, next days 4, days nearby 1, any day 1/1000: the nearest that says anything decides
-    weigh = lambda a: F.col(a) * 8000 + F.sum(a).over(around(1)) * 4000 + F.sum(a).over(around(near_days)) * 1000 + F.sum(a).over(W.partitionBy(*key))
-    days = days.select(*key, "day", *(weigh(a).alias(a) for a in e))
-    t = t.join(days, [*key, "day"], "left")
-    own = 8000 + 4000 + 1000 + 1
-    rest = [F.col(a) - F.when(F.col("extra") == k, F.lit(own)).otherwise(F.lit(0)) for k, a in enumerate(e)]
-    top = F.greatest(*rest) if len(rest) > 1 else rest[0]
-    code = F.lit(-1)
-    for k in range(len(rest) - 1, -1, -1):
-        code = F.when(rest[k] == top, F.lit(k)).otherwise(code)
-    return t.withColumn("extra_near", F.coalesce(F.when(top > 0, code), F.lit(-1))).drop(*e)
+    return _like_amounts(t.drop("meter_id", "slot", "trip_id"))
 
 
-def fill_trips(trips: DataFrame, max_bins: int = 24, max_vendors: int = 31) -> DataFrame:
+def fill_trips(trips: DataFrame, bins: int = 32, sources: int = 31, pools: int = 8) -> DataFrame:
     """record_id, field, fill, probability for passenger_count, extra and payment_type.
 
-    max_bins: bins of extra, one a distinct real value (its median is the
-    value); a value past the commonest max_bins stays known but unbinned.
-    Sources past max_vendors count as unknown.
+    bins: most bins of extra; amounts have two places and end at 10, so their
+    counts are a table of at most 1,001 rows. sources: the commonest sources have
+    a code of their own in the tree, the others share ``pools`` codes by hash.
     """
-    values = trips.select(F.round(S.real_extra("extra"), 2).alias("e")).where("e is not null").groupBy("e").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "e").limit(max_bins).collect()
-    extras = sorted(r[0] for r in values)
-    vendors = sorted(r[0] for r in trips.where("vendor is not null").groupBy("vendor").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "vendor").limit(max_vendors).collect())
-    coded = materialise(coded_trips(trips, extras, vendors))  # read by the counts and by the fill
-    n_pay, n_ex = len(S.PAYMENT_TYPES), max(1, len(extras))
+    amounts = trips.select(F.round(S.real_extra("extra"), 2).alias("e")).where("e is not null").groupBy("e").agg(F.count(F.lit(1)).alias("n")).collect()
+    cut = quantile_bins([(r["e"], r["n"]) for r in amounts], bins)
+    vendors = sorted(r[0] for r in trips.where("vendor is not null").groupBy("vendor").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "vendor").limit(sources).collect())
+    alone = F.array_position(F.array(*(F.lit(v) for v in vendors)).cast("array<string>"), F.col("vendor"))
+    code = F.when(alone > 0, alone - 1).when(F.col("vendor").isNotNull(), len(vendors) + F.pmod(F.xxhash64("vendor"), F.lit(pools))).otherwise(-1).cast("int")
+    values = {f"{c}_v": F.col(c) for c in ("extra_twin", "extra_near")}
+    coded = coded_trips(trips).withColumns(values | {c: cut.code(F.col(c)) for c in ("extra", "extra_twin", "extra_near")} | {"vendor": code})
+    coded = materialise(coded.drop("day"))  # read by the counts and by the fill
+    n_pay, n_ex = len(S.PAYMENT_TYPES), max(1, len(cut.edges))
     nodes = [
         Node("passenger_count", 9), Node("passenger_count_shift", 9), Node("passenger_count_twin", 9),
         Node("payment_type", n_pay), Node("payment_type_shift", n_pay), Node("payment_type_twin", n_pay),
         Node("extra", n_ex), Node("extra_near", n_ex), Node("extra_twin", n_ex),
-        Node("vendor", max(1, len(vendors))), Node("hour", 24), Node("weekend", 2),
+        Node("vendor", len(vendors) + pools), Node("hour", 24), Node("weekend", 2),
     ]
     joints = pair_counts(coded, nodes)
     tree = chow_liu(nodes, joints)
     seen = lambda i: sum(t.sum() for (a, b), t in joints.items() if i in (a, b)) > 0
-    texts = {"passenger_count": [str(k + 1) for k in range(9)], "payment_type": list(S.PAYMENT_TYPES), "extra": [f"{v:.2f}" for v in extras]}
+    texts = {"passenger_count": [str(k + 1) for k in range(9)], "payment_type": list(S.PAYMENT_TYPES), "extra": [f"{v:.2f}" for v in cut.medians]}
     texts = {k: v if seen([n.name for n in nodes].index(k)) else [] for k, v in texts.items()}
-    # a real extra outside the bins is no missing value
-    lacking = coded.where("passenger_count < 0 or payment_type < 0 or no_extra")
-    out = fill(lacking, nodes, tree, texts, ["record_id", "no_extra"])
-    return out.where("field <> 'extra' or no_extra").drop("no_extra")
+    lacking = coded.where("passenger_count < 0 or payment_type < 0 or extra < 0")
+    out = fill(lacking, nodes, tree, texts, ["record_id", *values])
+    like = F.lit(None).cast("double")
+    for c in ("extra_near_v", "extra_twin_v"):
+        like = F.when(cut.code(F.col(c)) == F.col("code"), F.col(c)).otherwise(like)
+    amount = F.when((F.col("field") == "extra") & F.col("fill").isNotNull() & like.isNotNull(), F.format_string("%.2f", like))
+    return out.select("record_id", "field", F.coalesce(amount, "fill").alias("fill"), "probability")

@@ -334,6 +334,33 @@ def test_imputation_follows_shift_source_and_marks(spark):
     assert got == {(5, "passenger_count"): "1", (25, "payment_type"): "cash", (47, "extra"): "0.50", (66, "passenger_count"): "1", (66, "payment_type"): "cash", (66, "extra"): "0.50"}
 
 
+def test_imputation_has_no_caps_on_amounts_or_sources(spark):
+    # 40 sources with 8 amounts each, 320 in all; two trips of an hour on each of three days
+    rows, want = [], {}
+    for v in range(40):
+        for h in range(8):
+            amount = round(0.03 * (8 * v + h), 2)
+            for day in range(3):
+                for k in range(2):
+                    i = len(rows)
+                    blank = day == 1 and k == 0
+                    rows.append(trip(i, minutes=1440 * day + 60 * h + 7 * k, meter=f"m{v}", vendor=f"v{v:02d}", extra=None if blank else amount))
+                    if blank:
+                        want[i] = f"{amount:.2f}"
+    got = {r.record_id: r.fill for r in I.fill_trips(spark.createDataFrame(rows, TRIP)).where("field = 'extra'").collect()}
+    assert got.keys() == want.keys()
+    assert sum(got[i] == w for i, w in want.items()) >= 0.97 * len(want)
+
+
+def test_quantile_bins_hold_every_value_and_decode_to_medians():
+    counts = [(round(x / 100, 2), 1 + x % 7) for x in range(1001)] + [(20.0, 5000)]
+    b = I.quantile_bins(counts, 32)
+    assert len(b.edges) <= 32 and b.edges[0] == 0.0 and 20.0 in b.edges and list(b.edges) == sorted(b.edges)
+    for lo, hi, mid in zip(b.edges, [*b.edges[1:], float("inf")], b.medians):
+        inside = np.repeat([v for v, n in counts if lo <= v < hi], [n for v, n in counts if lo <= v < hi])
+        assert mid == np.sort(inside)[(len(inside) - 1) // 2]
+
+
 def test_imputation_odd_input(spark):
     assert I.fill_trips(spark.createDataFrame([], TRIP)).count() == 0
     lone = [(1, *[None] * 15), (1, *[None] * 15)]
