@@ -84,10 +84,10 @@ PROMPT = "Give the missing figure. The folded ledger of Grinethan lists 4876 sea
 OTHER = "Give the missing figure. The folded ledger of Pelnebay lists 1111 seats, 222 more than Yarmobay. Only 3333 of the 444 badges sent by Zandaton ever reached Kelguton. When Murfan closed, 5555 seats moved over to Orrusk within 666 hours."
 
 
-def leaked(spark, docs, items=((1, PROMPT), (2, OTHER), (3, None), (4, " "))):
+def leaked(spark, docs, items=((1, PROMPT), (2, OTHER), (3, None), (4, " ")), few=1):
     d = spark.createDataFrame([(i, t, "x") for i, t in enumerate(docs)], "doc_id bigint, text string, item_id string")
     e = spark.createDataFrame([(i, p, "x") for i, p in items], "item_id bigint, prompt string, text string")
-    return {(r.doc_id, r.item_id) for r in leaks.find_leaks(d, e, leaks.LeakRules(telling=1)).collect()}
+    return {(r.doc_id, r.item_id) for r in leaks.find_leaks(d, e, leaks.LeakRules(few=few)).collect()}
 
 
 def test_leaks(spark):
@@ -104,6 +104,21 @@ def test_leaks(spark):
     assert leaked(spark, docs) == {(0, 1), (1, 1), (3, 2), (8, 1)}
 
 
+def test_leaks_of_many_copies_and_near_copies_of_an_item(spark):
+    docs = [PROMPT, OTHER, "Give the missing figure. Nothing of it."]
+    copies = [(i, (PROMPT, OTHER)[i % 2]) for i in range(80)]  # every word stands in half of the items
+    assert leaked(spark, docs, copies) == {(i % 2, i) for i in range(80)}
+    near = [(i, PROMPT + f" Variant {i}.") for i in range(5)]
+    assert leaked(spark, docs, [*near, (99, OTHER)], few=5) == {(0, i) for i in range(5)} | {(1, 99)}
+
+
+def test_repeated_document_rows_and_a_null_id(spark):
+    d = spark.createDataFrame([(7, PROMPT), (7, PROMPT), (7, OTHER), (None, OTHER)], "doc_id bigint, text string")
+    e = spark.createDataFrame([(1, PROMPT), (2, OTHER), (2, OTHER)], "item_id bigint, prompt string")
+    got = sorted(((r.doc_id, r.item_id) for r in leaks.find_leaks(d, e, leaks.LeakRules(few=1)).collect()), key=str)
+    assert got == [(7, 1), (7, 1), (7, 2), (None, 2)]
+
+
 def test_leaks_empty(spark):
     d = spark.createDataFrame([], "doc_id bigint, text string")
     e = spark.createDataFrame([], "item_id bigint, prompt string")
