@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
+PUBLIC = "byte_bpe_50k.tiktoken"
 CACHE_ENTRIES = 200_000
 CACHE_BYTES = 64  # longer pre-tokens are rare and are merged each time
 
@@ -146,19 +147,28 @@ def load(path: str, pattern: str) -> Encoder:
     return _loaded[key]
 
 
-def public_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
+def public_vocabulary(name: str = PUBLIC) -> tuple[str, str]:
     """Path and split pattern of an installed public vocabulary."""
     import public_tokenizers
 
-    return public_tokenizers.path(name), public_tokenizers.PATTERN
+    return name if "/" in name else public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
-def token_ids(text: Column, path: str, pattern: str) -> Column:
-    """array<int> of a text column: a Pandas UDF, no shuffle."""
+def token_ids(text: Column, path: str = PUBLIC, pattern: str | None = None) -> Column:
+    """array<int> of a text column: a Pandas UDF, no shuffle.
+
+    path: a .tiktoken file that every executor can read, or the bare name of an
+    installed public vocabulary, which each worker looks up for itself;
+    pattern: of the pre-tokens, by default the public vocabularies'.
+    """
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = load(path, pattern)
+        where, split = path, pattern
+        if "/" not in path or pattern is None:
+            where, public = public_vocabulary(path)
+            split = pattern or public
+        enc = load(where, split)
         for s in batches:
             yield s.map(enc.encode, na_action=None)
 

@@ -3,10 +3,13 @@
 Complement naive Bayes learns from the labelled documents; expectation-
 maximisation over the sentences of all documents refines it: a sentence is
 about one subject or about none, the document's own mix is its prior, and in
-a labelled document only the document's subjects are open. A document deals
-with a subject if at least a given share of its sentences with a subject are
-about it. Independent posteriors a subject are calibrated on the labelled
-documents.
+a labelled document only the document's subjects are open. In every round a
+feature speaks for a subject by its log probability there and, at the weight
+``against``, by its rarity in the complement, all other sentences. The share of
+a document's sentences with a subject that are about it gives that subject's
+posterior by a curve calibrated on the labelled documents, one a subject and
+each for itself; a document deals with the subjects of a posterior of one half
+or more.
 
 The model is a table of hashed words and word pairs by class, so its size is
 fixed whatever the corpus. Each round is one pass over the sentences; tasks
@@ -17,6 +20,7 @@ Defined results in odd cases
   have no subject;
 - labels of unknown documents or subjects are left out; without any label
   nothing can be told and no document gets a subject;
+- any number of subjects; a null subject is none;
 - equal rows get equal results, one each; an empty table gives no rows;
 - texts are processed whole; further columns are ignored.
 """
@@ -38,41 +42,65 @@ from marlstone.session import materialise
 @dataclass(frozen=True)
 class SubjectRules:
     """buckets: hashed features; rounds: of expectation-maximisation; temper:
-    weight of the (overlapping) features; mix: prior sentences a class in a
-    document; share: of the sentences with a subject that makes a case."""
+    weight of the (overlapping) features; against: weight of the complement's
+    evidence; mix: prior sentences a class in a document; share: of the
+    sentences with a subject that makes a case; steps: bins of the calibration;
+    faith: labelled documents a bin for which the definition (share) counts."""
 
     buckets: int = 1 << 17
     rounds: int = 3
     temper: float = 0.4
+    against: float = 0.5
     mix: float = 0.3
     share: float = 0.2
+    steps: int = 20
+    faith: float = 5.0
 
 
-def features(words: list[str], buckets: int) -> list[int]:
-    """Hashed words and word pairs of a sentence, once each; numbers are alike."""
-    w = ["#" if x[0].isdigit() else x for x in words]
-    return sorted({zlib.crc32(x.encode()) % buckets for x in (*w, *(f"{a} {b}" for a, b in zip(w, w[1:])))})
+def features(words: list[str], buckets: int, known: dict[str, tuple[int, bytes]] | None = None) -> list[int]:
+    """Hashed words and word pairs of a sentence, once each; numbers are alike.
+
+    A pair's checksum goes on from its first word's; ``known`` keeps the words'.
+    """
+    known = {} if known is None else known
+    out, last = set(), None
+    for w in words:
+        if w[0].isdigit():
+            w = "#"
+        hit = known.get(w)
+        if hit is None:
+            raw = w.encode()
+            hit = known[w] = (zlib.crc32(raw), b" " + raw)
+        out.add(hit[0] % buckets)
+        if last is not None:
+            out.add(zlib.crc32(hit[1], last) % buckets)
+        last = hit[0]
+    return sorted(out)
 
 
 def sentence_table(docs: DataFrame, labels: DataFrame, subjects: list[str], rules: SubjectRules) -> DataFrame:
-    """doc_id, mask (bits of the labelled subjects, 0: unlabelled), feats (of all sentences in turn), lens (features a sentence)."""
-    bits = F.lit(0)
-    for k, s in enumerate(subjects):
-        bits = F.when(F.col("subject") == s, F.lit(1 << k)).otherwise(bits)
-    marks = labels.groupBy("doc_id").agg(F.bit_or(bits).alias("mask"))
+    """doc_id, marks (indexes of the labelled subjects; none: unlabelled), feats (of all sentences in turn), lens (features a sentence).
+
+    The labels meet the features, never the texts.
+    """
+    index = F.array_position(F.array(*(F.lit(s) for s in subjects)), F.col("subject")) - 1
+    marks = labels.select("doc_id", index.cast("int").alias("k")).where("k >= 0").groupBy("doc_id").agg(F.sort_array(F.collect_set("k")).alias("marks"))  # at most the subjects
     buckets = rules.buckets
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, tuple[int, bytes]] = {}
         for pdf in batches:
+            if len(known) > 500_000:
+                known.clear()
             feats, lens = [], []
             for text in pdf["text"]:
-                each = [features(w, buckets) for w in sentences(text or "")]
+                each = [features(w, buckets, known) for w in sentences(text or "")]
                 feats.append([x for f in each for x in f])
                 lens.append([len(f) for f in each])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "mask": pdf["mask"], "feats": feats, "lens": lens})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "feats": feats, "lens": lens})
 
-    joined = docs.select("doc_id", "text").join(marks, "doc_id", "left").fillna({"mask": 0})
-    return joined.mapInPandas(cut, "doc_id bigint, mask bigint, feats array<int>, lens array<int>").where(F.size("lens") > 0)
+    table = docs.select("doc_id", "text").mapInPandas(cut, "doc_id bigint, feats array<int>, lens array<int>").where(F.size("lens") > 0)
+    return table.join(marks, "doc_id", "left").select("doc_id", F.coalesce("marks", F.array().cast("array<int>")).alias("marks"), "feats", "lens")
 
 
 # ---------------------------------------------------------------- one block of documents
@@ -80,13 +108,19 @@ def sentence_table(docs: DataFrame, labels: DataFrame, subjects: list[str], rule
 
 @dataclass
 class Block:
-    """Sentences of some documents: flat features, features a sentence, document of a sentence."""
+    """Sentences of some documents: flat features, features a sentence, document of a sentence, subjects labelled by document."""
 
     flat: np.ndarray
     lens: np.ndarray
     owner: np.ndarray
     docs: int
-    mask: np.ndarray
+    marks: list[np.ndarray]
+
+    def labelled(self, k: int) -> np.ndarray:
+        out = np.zeros((self.docs, k), bool)
+        for i, m in enumerate(self.marks):
+            out[i, m] = True
+        return out
 
 
 def blocks(pdf: pd.DataFrame, most: int = 150_000) -> Iterator[tuple[slice, Block]]:
@@ -101,7 +135,7 @@ def blocks(pdf: pd.DataFrame, most: int = 150_000) -> Iterator[tuple[slice, Bloc
         part = pdf.iloc[start:end]
         lens = [np.asarray(x, np.int64) for x in part["lens"]]
         owner = np.repeat(np.arange(end - start), [len(x) for x in lens])
-        yield slice(start, end), Block(np.concatenate([np.asarray(x, np.int64) for x in part["feats"]]), np.concatenate(lens), owner, end - start, part["mask"].to_numpy(np.int64))
+        yield slice(start, end), Block(np.concatenate([np.asarray(x, np.int64) for x in part["feats"]]), np.concatenate(lens), owner, end - start, [np.asarray(x, np.int64) for x in part["marks"]])
         start = end
 
 
@@ -124,8 +158,9 @@ def open_classes(b: Block, k: int, masked: bool) -> np.ndarray:
     """Documents by classes: which are open; the last, no subject, always is."""
     free = np.ones((b.docs, k + 1), bool)
     if masked:
-        known = b.mask > 0
-        free[known, :k] = (b.mask[known, None] >> np.arange(k)) & 1 == 1
+        named = b.labelled(k)
+        known = named.any(1)
+        free[known, :k] = named[known]
     return free
 
 
@@ -175,6 +210,8 @@ def _expected_counts(table: DataFrame, k: int, buckets: int, weigh) -> tuple[np.
         yield pd.DataFrame([[-1, *mass]], columns=out.columns)
 
     schema = "f int, " + ", ".join(f"c{c} double" for c in range(k))
+    # no more tasks than run at once: each gives a table of the buckets
+    table = table.coalesce(max(1, table.sparkSession.sparkContext.defaultParallelism))
     rows = table.mapInPandas(add, schema).groupBy("f").agg(*(F.sum(f"c{c}").alias(f"c{c}") for c in range(k))).toPandas()
     counts, mass = np.zeros((buckets, k)), np.zeros(k)
     at = rows["f"].to_numpy()
@@ -191,11 +228,15 @@ def complement_weights(counts: np.ndarray, smooth: float = 1.0) -> np.ndarray:
     return w - w.mean(1, keepdims=True)
 
 
-def log_weights(counts: np.ndarray) -> np.ndarray:
-    """Smoothed log probabilities of the features by class."""
+def class_weights(counts: np.ndarray, against: float) -> np.ndarray:
+    """Log probability of the features in a class, less ``against`` times that in its complement; both smoothed by the feature's own frequency."""
     k = counts.shape[1] - 1
     whole = counts.sum(1, keepdims=True)
-    return np.log((counts + 0.5 * k * whole / max(whole.sum(), 1e-9) + 1e-3) / (counts.sum(0) + 0.5 * k + 1e-3 * len(counts)))
+    prior = 0.5 * k * whole / max(whole.sum(), 1e-9) + 1e-3
+    own = np.log((counts + prior) / (counts + prior).sum(0))
+    other = whole - counts + prior
+    rare = -np.log(other / other.sum(0))
+    return own + against * (rare - rare.mean(1, keepdims=True))
 
 
 @dataclass
@@ -211,17 +252,17 @@ def train(table: DataFrame, subjects: list[str], rules: SubjectRules = SubjectRu
     k, buckets = len(subjects), rules.buckets
 
     def labelled(b: Block) -> np.ndarray:
-        share = ((b.mask[:, None] >> np.arange(k)) & 1).astype(float)
+        share = b.labelled(k).astype(float)
         return (share / np.maximum(share.sum(1, keepdims=True), 1))[b.owner]
 
-    counts, mass = _expected_counts(table.where("mask > 0"), k, buckets, labelled)
+    counts, mass = _expected_counts(table.where("size(marks) > 0"), k, buckets, labelled)
     if not mass.sum():
         return None
     sc = table.sparkSession.sparkContext
     start = sc.broadcast(complement_weights(counts).astype(np.float32))  # buckets x classes: a fixed size
     counts, mass = _expected_counts(table, k + 1, buckets, lambda b: first_posteriors(start.value, b))
     for n in range(rules.rounds):
-        weights, prior = log_weights(counts), np.log((mass + 1) / (mass + 1).sum())
+        weights, prior = class_weights(counts, rules.against), np.log((mass + 1) / (mass + 1).sum())
         if n < rules.rounds - 1:
             held = sc.broadcast(weights.astype(np.float32))
             counts, mass = _expected_counts(table, k + 1, buckets, lambda b, held=held, prior=prior: sentence_posteriors(held.value, prior, b, True, rules))
@@ -231,7 +272,7 @@ def train(table: DataFrame, subjects: list[str], rules: SubjectRules = SubjectRu
 
 
 def subject_counts(table: DataFrame, model: Model) -> DataFrame:
-    """doc_id, mask, counts (sentences by subject). Labels are not used here: some are wrong."""
+    """doc_id, marks, counts (sentences by subject). Labels are not used here: some are wrong."""
     held = table.sparkSession.sparkContext.broadcast((model.weights, model.prior))
     rules, k = model.rules, len(model.subjects)
 
@@ -243,62 +284,61 @@ def subject_counts(table: DataFrame, model: Model) -> DataFrame:
                 n = np.zeros((b.docs, k + 1), np.int64)
                 np.add.at(n, (b.owner, best), 1)
                 part = pdf.iloc[at]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "mask": part["mask"].to_numpy(), "counts": list(n[:, :k])})
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "marks": part["marks"].tolist(), "counts": list(n[:, :k])})
 
-    return table.mapInPandas(tell, "doc_id bigint, mask bigint, counts array<bigint>")
+    return table.mapInPandas(tell, "doc_id bigint, marks array<int>, counts array<bigint>")
 
 
 def subject_shares(counts: DataFrame, subjects: list[str]) -> DataFrame:
-    """doc_id, mask, subject, bit, n, share of the sentences with a subject; subjects with a sentence only."""
+    """doc_id, subject, bit, n, share of the sentences with a subject; subjects with a sentence only."""
     total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x)
     names = F.array(*(F.lit(s) for s in subjects))
     each = F.posexplode("counts").alias("bit", "n")
-    return counts.select("doc_id", "mask", total.alias("total"), each).where("n > 0").select("doc_id", "mask", F.element_at(names, F.col("bit") + 1).alias("subject"), "bit", "n", (F.col("n") / F.col("total")).alias("share"))
+    return counts.select("doc_id", total.alias("total"), each).where("n > 0").select("doc_id", F.element_at(names, F.col("bit") + 1).alias("subject"), "bit", "n", (F.col("n") / F.col("total")).alias("share"))
+
+
+def _bin(share, steps: int):
+    return F.least(F.floor(share * steps + 1e-9), F.lit(steps)).cast("int")
 
 
-def calibrate(shares: DataFrame, counts: DataFrame, subjects: list[str], steps: int = 20) -> DataFrame:
-    """shares with ``posterior``: P(the document has the subject), a logistic curve of the share for each subject.
+def calibrate(shares: DataFrame, counts: DataFrame, subjects: list[str], rules: SubjectRules) -> DataFrame:
+    """shares with ``posterior``: P(the document has the subject), a rising curve of the share for each subject.
 
-    Fitted on the labelled documents' shares in ``steps`` bins: a bounded table.
+    Isotonic regression on the labelled documents, in ``steps`` bins of the
+    share; each bin starts with ``faith`` documents that follow the definition.
+    What reaches the driver is subjects x bins rows.
     """
-    k = len(subjects)
-    labelled = counts.where("mask > 0")
+    k, steps = len(subjects), rules.steps
     total = F.greatest(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(1))
-    cells = labelled.select("mask", total.alias("total"), F.posexplode("counts").alias("bit", "n"))
-    yes = F.expr("cast((mask >> bit) & 1 as int)")
-    rows = cells.groupBy("bit", F.round(F.col("n") / F.col("total") * steps).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum(yes).alias("yes")).collect()
-    curve = []
-    for s in range(k):
-        x = np.array([r["bin"] / steps for r in rows if r["bit"] == s])
-        n = np.array([r["n"] for r in rows if r["bit"] == s], float)
-        y = np.array([r["yes"] for r in rows if r["bit"] == s], float)
-        curve.append(_logistic(x, n, y))
-    a = F.element_at(F.array(*(F.lit(float(c[0])) for c in curve)), F.col("bit") + 1)
-    b = F.element_at(F.array(*(F.lit(float(c[1])) for c in curve)), F.col("bit") + 1)
-    return shares.withColumn("posterior", 1 / (1 + F.exp(-(a + b * F.col("share")))))
-
-
-def _logistic(x: np.ndarray, n: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope by Newton steps, with a weak prior around share 0.2."""
-    w, prior = np.array([-2.0, 10.0]), np.array([-2.0, 10.0])
-    z = np.c_[np.ones(len(x)), x]
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (y - n * p) - 0.05 * (w - prior)
-        hess = (z * (n * p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        w = w + np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-6:
-            break
-    return float(w[0]), float(w[1])
+    cells = counts.where("size(marks) > 0").select("marks", total.alias("total"), F.posexplode("counts").alias("bit", "n"))
+    yes = F.array_contains("marks", F.col("bit")).cast("int")
+    rows = cells.groupBy("bit", _bin(F.col("n") / F.col("total"), steps).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum(yes).alias("yes")).collect()
+    n = np.full((k, steps + 1), rules.faith)
+    y = n * (np.arange(steps + 1) >= rules.share * steps - 1e-9)
+    for r in rows:
+        n[r["bit"], r["bin"]] += r["n"]
+        y[r["bit"], r["bin"]] += r["yes"]
+    curves = F.array(*(F.array(*(F.lit(float(v)) for v in rising(y[s] / n[s], n[s]))) for s in range(k)))
+    return shares.withColumn("posterior", F.element_at(F.element_at(curves, F.col("bit") + 1), _bin(F.col("share"), steps) + 1))
+
+
+def rising(rate: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weighted isotonic regression by pooling neighbours that fall."""
+    pools: list[list[float]] = []
+    for r, w in zip(rate, weight):
+        pools.append([r, w, 1])
+        while len(pools) > 1 and pools[-2][0] > pools[-1][0]:
+            b, a = pools.pop(), pools.pop()
+            pools.append([(a[0] * a[1] + b[0] * b[1]) / (a[1] + b[1]), a[1] + b[1], a[2] + b[2]])
+    return np.concatenate([np.full(int(m), r) for r, _, m in pools])
 
 
 def classify(docs: DataFrame, labels: DataFrame, subjects: DataFrame, rules: SubjectRules = SubjectRules()) -> DataFrame:
     """doc_id, subject, n, share, posterior of every subject a document has a sentence on."""
-    names = sorted(r[0] for r in subjects.select("subject").where("subject is not null").distinct().limit(62).collect())  # bits of a mask
+    names = sorted(r[0] for r in subjects.select("subject").where("subject is not null").distinct().collect())  # a class each
     table = materialise(sentence_table(docs, labels, names, rules))
     model = train(table, names, rules) if names else None
     if model is None:
         return docs.sparkSession.createDataFrame([], "doc_id bigint, subject string, n bigint, share double, posterior double")
     counts = materialise(subject_counts(table, model))
-    return calibrate(subject_shares(counts, names), counts, names).select("doc_id", "subject", "n", "share", "posterior")
+    return calibrate(subject_shares(counts, names), counts, names, rules).select("doc_id", "subject", "n", "share", "posterior")

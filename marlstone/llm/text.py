@@ -18,19 +18,24 @@ _MARK = re.compile(r"<[^<>]{0,80}>|&[a-z#0-9]{1,8};?|[*_`~]+")
 _INNER = re.compile(r"(?<=\d)[ ,.'’](?=\d{3}(?!\d))")
 _WORD = re.compile(r"[a-z0-9]+")
 _STAMP = re.compile(r"^\s*(?:#+|>+|\[\d\d?:\d\d\]|- )+\s*", re.M)
+_MAY_STAMP, _MAY_MARK = re.compile(r"[#>\[-]"), re.compile(r"[<&*_`~]")
 _HYPHEN = re.compile(r"(?<=[A-Za-z])-\s*\n\s*(?=[a-z])")
 
 
 def words(text: str) -> list[str]:
     """Plain words of a text: lower-case letters and digits, whatever its markup, number style, script tricks or spacing."""
-    t = html.unescape(text)
-    t = _STAMP.sub(" ", t)
-    t = _MARK.sub(lambda m: " " if m[0][0] in "<&" else "", t)
+    t = html.unescape(text) if "&" in text else text
+    if _MAY_STAMP.search(t):
+        t = _STAMP.sub(" ", t)
+    if _MAY_MARK.search(t):
+        t = _MARK.sub(lambda m: " " if m[0][0] in "<&" else "", t)
     if not t.isascii():
         t = _plain_letters(t)
-    t = _HYPHEN.sub("", t.lower())
-    while (u := _INNER.sub("", t)) != t:
-        t = u
+    t = t.lower()
+    if "-" in t and "\n" in t:
+        t = _HYPHEN.sub("", t)
+    while _INNER.search(t):
+        t = _INNER.sub("", t)
     return _WORD.findall(t)
 
 

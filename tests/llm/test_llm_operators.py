@@ -1,5 +1,7 @@
 """Operators for training text against brute force, exact encoders and held-out labels."""
 
+import os
+
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -7,6 +9,8 @@ from hypothesis import given, settings, strategies as st
 from marlstone.llm import bpe, leaks, quantiles, subjects, text
 
 
+TABLES = "/root/testdata/sf0.1"
+
 # ---------------------------------------------------------------- percentiles
 
 
@@ -39,6 +43,35 @@ def test_percentiles_combine(spark):
     assert quantiles.read_quantiles(quantiles.combine(empty, ["g"]), ["g"]).count() == 0
 
 
+def test_summaries_of_a_partition_are_given_out_before_they_grow(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i % 40), float(v)) for i, v in enumerate(rng.normal(size=30_000))]
+    df = spark.createDataFrame(rows, "g int, v double").coalesce(2)
+    parts = quantiles.summarise(df, ["g"], ["v"], k=64, most=5_000)
+    assert parts.groupBy("g", "part").agg({"n": "count"}).agg({"count(n)": "max"}).first()[0] > 2
+    for r in quantiles.read_quantiles(quantiles.combine(parts, ["g"], k=64, fan=2, most=5_000), ["g"], k=64).collect():
+        v = np.sort([x for g, x in rows if g == r.g])
+        assert r.n == len(v) and 0 < r.rank_error < 0.1
+        assert abs(np.searchsorted(v, r.p50) + 1 - np.ceil(0.5 * len(v))) <= r.rank_error * len(v) + 1e-6
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="needs the test tables")
+def test_stated_rank_error_holds_in_collapsed_groups(spark):
+    from marlstone.llm import queries
+
+    got = queries.p6_percentiles(spark, TABLES).where("rank_error > 0").collect()
+    assert len(got) >= 5
+    rows = queries._fares(spark, TABLES).select("zone_id", *queries._FARES).toPandas()
+    for r in got:
+        zone = rows["zone_id"].isna() if r.zone_id is None else rows["zone_id"] == r.zone_id
+        v = np.sort(rows.loc[zone, r.metric].dropna().to_numpy())
+        assert r.n == len(v)
+        for p in quantiles.PROBS:
+            q, rank = r[f"p{round(p * 100)}"], np.ceil(p * len(v))
+            low, high = np.searchsorted(v, q, "left") + 1, np.searchsorted(v, q, "right")
+            assert max(low - rank, rank - high, 0) <= r.rank_error * len(v) + 1e-6
+
+
 # ---------------------------------------------------------------- encoding
 
 
@@ -195,3 +228,37 @@ def test_complement_weights_and_posteriors():
     counts = np.array([[9.0, 0], [0, 9.0], [5, 5]])
     w = subjects.complement_weights(counts)
     assert w[0, 0] > 0 > w[0, 1] and w[1, 1] > 0 and abs(w[2]).max() < 1e-9
+
+
+def test_more_subjects_than_bits(spark):
+    names = [f"s{i:02d}" for i in range(70)]
+    text = lambda i, n: " ".join(f"The {'abcdefgh'[i % 8]}{'klmnopqrst'[i // 8]}one and {'abcdefgh'[i % 8]}{'klmnopqrst'[i // 8]}two stand here." for _ in range(n))
+    docs = [(i, text(i, 5)) for i in range(70)] + [(100 + i, text(i, 3) + " " + text(69 - i, 3)) for i in range(10)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    lab = spark.createDataFrame([(i, names[i], "a") for i in range(70)], "doc_id bigint, subject string, labelled_by string")
+    sub = spark.createDataFrame([(n, "x") for n in names] + [(None, "x")], "subject string, about string")
+    got = {(r.doc_id, r.subject) for r in subjects.classify(d, lab, sub, subjects.SubjectRules(buckets=1 << 12)).where("posterior >= 0.5").collect()}
+    assert got == {(i, names[i]) for i in range(70)} | {(100 + i, names[j]) for i in range(10) for j in (i, 69 - i)}
+
+
+def test_rising_curve():
+    got = subjects.rising(np.array([0.0, 0.4, 0.2, 1.0, 0.9]), np.array([1.0, 1.0, 3.0, 1.0, 1.0]))
+    assert got == pytest.approx([0.0, 0.25, 0.25, 0.95, 0.95])
+
+
+def test_pairs_hash_like_their_text():
+    import zlib
+
+    assert subjects.features(["ab", "7", "cd"], 1 << 20) == sorted({zlib.crc32(x.encode()) % (1 << 20) for x in ("ab", "#", "cd", "ab #", "# cd")})
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="needs the test tables")
+def test_held_out_subjects(spark):
+    from pyspark.sql import functions as F
+
+    docs, lab, sub = (spark.read.parquet(f"{TABLES}/{t}.parquet") for t in ("documents", "subject_labels", "subjects"))
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
+    want = {(r.doc_id, r.subject) for r in lab.where(held).collect()}
+    got = subjects.classify(docs, lab.where(~held), sub).where("posterior >= 0.5").join(lab.where(held).select("doc_id").distinct(), "doc_id")
+    got = {(r.doc_id, r.subject) for r in got.collect()}
+    assert len(got & want) >= 0.92 * len(want) and len(got & want) >= 0.92 * len(got)  # a few labels are wrong
