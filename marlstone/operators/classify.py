@@ -12,7 +12,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from marlstone.operators.distance import block_pairs, matrix, stacked
+from marlstone.operators.distance import block_pairs, exactly, matrix, stacked
 
 Predict = Callable[[DataFrame], DataFrame]
 
@@ -22,11 +22,13 @@ def knn(train: DataFrame, k: int = 5) -> Predict:
 
     def predict(test: DataFrame) -> DataFrame:
         def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-            b = b.sort_values("id", kind="stable")
-            d = matrix(stacked(a), stacked(b))
-            near = np.argsort(d, axis=1, kind="stable")[:, :k]
-            rows = np.arange(len(a))[:, None]
-            return pd.DataFrame({"id": np.repeat(a["id"].to_numpy(), near.shape[1]), "other": b["id"].to_numpy()[near].ravel(), "vote": b["label"].to_numpy()[near].ravel(), "distance": d[rows, near].ravel()})
+            x, y = stacked(a), stacked(b)
+            d = matrix(x, y)
+            least = np.partition(d, min(k, len(b)) - 1, axis=1)[:, min(k, len(b)) - 1]
+            i, j = np.nonzero(d <= (least * (1 + 1e-6) + 1e-9)[:, None])  # the block's formula picks, the differences decide
+            near = pd.DataFrame({"row": i, "id": a["id"].to_numpy()[i], "other": b["id"].to_numpy()[j], "vote": b["label"].to_numpy()[j], "distance": exactly(x[i], y[j])})
+            near = near.sort_values(["row", "distance", "other"], kind="stable")
+            return near[near.groupby("row").cumcount() < k].drop(columns="row")
 
         kind = train.schema["label"].dataType.simpleString()
         near = block_pairs(test.select("id", "features"), train, kernel, f"id bigint, other bigint, vote {kind}, distance double")
@@ -93,11 +95,11 @@ def logistic_ovr(train: DataFrame, c: float = 1.0, max_iter: int = 100) -> Predi
 
 
 def tree(train: DataFrame, max_depth: int = 30, seed: int = 42) -> Predict:
-    return _mllib(train, lambda n: ml.DecisionTreeClassifier(maxDepth=max_depth, impurity="gini", seed=seed, **_IO, **_PROB))
+    return _mllib(train, lambda n: ml.DecisionTreeClassifier(maxDepth=max_depth, impurity="gini", maxMemoryInMB=1024, seed=seed, **_IO, **_PROB))
 
 
 def forest(train: DataFrame, trees: int = 100, max_depth: int = 30, seed: int = 42) -> Predict:
-    return _mllib(train, lambda n: ml.RandomForestClassifier(numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed, **_IO, **_PROB))
+    return _mllib(train, lambda n: ml.RandomForestClassifier(numTrees=trees, maxDepth=max_depth, maxMemoryInMB=1024, cacheNodeIds=True, featureSubsetStrategy="sqrt", seed=seed, **_IO, **_PROB))
 
 
 MODELS = {"knn": knn, "gaussian_nb": gaussian_nb, "logistic": logistic, "tree": tree, "forest": forest}

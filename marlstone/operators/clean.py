@@ -29,8 +29,9 @@ def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def mode_value(df: DataFrame, column: str) -> DataFrame:
-    """One row: the commonest value, the smallest of a tie; null for a column without values."""
-    return df.agg(F.mode(column, deterministic=True).alias(column))
+    """One row: the commonest value, the smallest of a tie; null for a column without values. Values are counted before they meet."""
+    n = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    return n.agg(F.min_by(column, F.struct(-F.col("_n"), F.col(column))).alias(column))
 
 
 def fill_mode(df: DataFrame, column: str) -> DataFrame:
@@ -68,6 +69,7 @@ def text_codes(df: DataFrame, columns: list[str]) -> DataFrame:
 def clean_trips(trips: DataFrame) -> DataFrame:
     """The trips' pipeline: rename, drop the empty columns, fill, drop null payments, derive, filter, label. Narrow apart from the mode."""
     d = drop_columns(rename_columns(trips), ["ehail_fee", "congestion_surcharge"])
+    d = d.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("lpep_pickup_datetime", "lpep_dropoff_datetime")})  # a text that is no time is an error
     d = d.withColumns({c: real_number(c) for c in ("extra", "trip_distance", "fare_amount", "total_amount")})
     d = drop_null_rows(fill_constant(fill_mode(d, "passenger_count"), {"extra": 0.0}), ["payment_type"])
     d = d.withColumns({

@@ -1,14 +1,44 @@
-"""DBSCAN over a neighbour table."""
+"""DBSCAN over a neighbour table, one run or a whole grid of them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from marlstone.operators.distance import neighbours
 from marlstone.operators.graph import components
+from marlstone.operators.rank import numbered, ranks
 from marlstone.session import materialise
 
 
+def dbscan_runs(pts: DataFrame, edges: DataFrame, grid: list[tuple[float, int]]) -> DataFrame:
+    """run, id, prediction for each (eps, min_samples) of the grid, by the same rules as dbscan.
+
+    edges: a neighbour table at the largest eps. Runs with the same eps share
+    their neighbours; the components of all runs are found together, a point
+    of a run being a node of its own.
+    """
+    spark = pts.sparkSession
+    at = materialise(ranks(pts.select("id"), [], ["id"], "i"))
+    n = at.count()
+    levels = sorted({e for e, _ in grid})
+    runs = spark.createDataFrame([(k, levels.index(e), float(e), m) for k, (e, m) in enumerate(grid)], "run bigint, level int, eps double, least int")  # a row a run
+    e = edges.join(at.select("id", "i"), "id").join(at.select(F.col("id").alias("other"), F.col("i").alias("j")), "other").select("i", "j", "distance")
+    by_level = e.join(F.broadcast(runs.select("level", "eps").distinct()), F.col("distance") <= F.col("eps")).select("level", "i", "j")
+    degree = by_level.groupBy("level", "i").agg(F.count(F.lit(1)).alias("n"))
+    core = materialise(degree.join(F.broadcast(runs), "level").where("n >= least").select("run", "level", "i"))
+    open_ = by_level.join(F.broadcast(runs.select("run", "level")), "level").join(core.select("run", "i"), ["run", "i"], "left_semi")
+    between = open_.join(core.select("run", F.col("i").alias("j")), ["run", "j"], "left_semi")
+    node = lambda c: (F.col("run") * F.lit(n) + F.col(c)).cast("bigint")
+    comp = components(core.select(node("i").alias("id")), between.select(node("i").alias("id"), node("j").alias("other")))
+    comp = comp.select(F.floor(F.col("id") / n).alias("run"), F.pmod("id", F.lit(n)).alias("i"), "component")
+    number = ranks(comp.select("run", "component").distinct(), ["run"], ["component"], "cluster")
+    cores = materialise(comp.join(number, ["run", "component"]).select("run", "i", "cluster"))
+    border = by_level.join(F.broadcast(runs.select("run", "level")), "level").join(cores.select("run", F.col("i").alias("j"), "cluster"), ["run", "j"]).groupBy("run", "i").agg(F.min("cluster").alias("near"))
+    every = at.join(F.broadcast(runs.select("run")))
+    out = every.join(cores, ["run", "i"], "left").join(border, ["run", "i"], "left")
+    return out.select("run", "id", F.coalesce("cluster", "near", F.lit(-1)).cast("bigint").alias("prediction"))
+
+
 def dbscan(pts: DataFrame, eps: float, min_samples: int, edges: DataFrame | None = None) -> DataFrame:
     """id, prediction: clusters numbered from 0 by their smallest core id, -1 noise.
 
@@ -21,8 +51,7 @@ def dbscan(pts: DataFrame, eps: float, min_samples: int, edges: DataFrame | None
     core = materialise(core)
     between = e.join(core, "id", "left_semi").join(core.withColumnRenamed("id", "other"), "other", "left_semi")
     comp = components(core, between)
-    # the distinct components only are numbered in one window
-    number = comp.select("component").distinct().withColumn("cluster", F.row_number().over(W.orderBy("component")).cast("bigint") - 1)
+    number = numbered(comp, "component", "cluster")
     cores = comp.join(number, "component").select("id", "cluster")
     border = e.join(cores.withColumnRenamed("id", "other"), "other").groupBy("id").agg(F.min("cluster").alias("near"))
     out = pts.select("id").join(cores, "id", "left").join(border, "id", "left")

@@ -69,9 +69,13 @@ def distance_table(pts: DataFrame, heads: list[list[float]], kind: str = "euclid
 
 
 def matrix(a: np.ndarray, b: np.ndarray, kind: str = "euclidean") -> np.ndarray:
-    """Distances of two blocks."""
+    """Distances of two blocks, by one formula whatever their size; Euclidean ones that the expanded product can't tell from 0 are taken from the differences."""
     if kind == "euclidean":
-        return np.sqrt(np.maximum(((a[:, None, :] - b[None, :, :]) ** 2).sum(2), 0)) if a.size * len(b) < 4_000_000 else np.sqrt(np.maximum((a**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * a @ b.T, 0))
+        aa, bb = (a**2).sum(1)[:, None], (b**2).sum(1)[None]
+        d = np.maximum(aa + bb - 2 * a @ b.T, 0)
+        i, j = np.nonzero(d <= 1e-7 * (aa + bb))
+        d[i, j] = ((a[i] - b[j]) ** 2).sum(1)
+        return np.sqrt(d)
     if kind == "cityblock":
         return np.stack([np.abs(a - row).sum(1) for row in b], 1)
     if kind == "cosine":
@@ -80,6 +84,16 @@ def matrix(a: np.ndarray, b: np.ndarray, kind: str = "euclidean") -> np.ndarray:
     raise ValueError(f"unknown distance {kind!r}")
 
 
+def exactly(a: np.ndarray, b: np.ndarray, kind: str = "euclidean") -> np.ndarray:
+    """Distances of rows in step, from their differences: the same wherever the rows stand."""
+    if kind == "euclidean":
+        return np.sqrt(((a - b) ** 2).sum(1))
+    if kind == "cityblock":
+        return np.abs(a - b).sum(1)
+    na, nb = np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1))
+    return 1 - np.divide((a * b).sum(1), na * nb, out=np.zeros(len(a)), where=na * nb > 0)
+
+
 def block_pairs(left: DataFrame, right: DataFrame, kernel, schema: str, block: int = BLOCK) -> DataFrame:
     """kernel(left block, right block) over every pair of blocks; blocks by hash of id."""
     left = left.select(*(F.col(c).alias(c) for c in left.columns))
@@ -121,9 +135,11 @@ def neighbours(pts: DataFrame, eps: float, kind: str = "euclidean", strict: bool
         return j.where(hit).select("id", "other", "distance")
 
     def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        d = matrix(stacked(a), stacked(b), kind)
-        i, j = np.nonzero(d < eps if strict else d <= eps)
-        return pd.DataFrame({"id": a["id"].to_numpy()[i], "other": b["id"].to_numpy()[j], "distance": d[i, j]})
+        x, y = stacked(a), stacked(b)
+        i, j = np.nonzero(matrix(x, y, kind) <= eps + 1e-6 * (1 + abs(eps)))  # the block's formula picks, the differences decide
+        d = exactly(x[i], y[j], kind)
+        hit = d < eps if strict else d <= eps
+        return pd.DataFrame({"id": a["id"].to_numpy()[i[hit]], "other": b["id"].to_numpy()[j[hit]], "distance": d[hit]})
 
     return block_pairs(pts, pts, kernel, "id bigint, other bigint, distance double")
 
@@ -145,14 +161,50 @@ def silhouette_points(labelled: DataFrame, kind: str = "euclidean") -> DataFrame
 
     sums = block_pairs(labelled, labelled, kernel, "id bigint, own bigint, cluster bigint, total double, n bigint")
     per = sums.groupBy("id", "own", "cluster").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return per.groupBy("id", "own").agg(*_sides()).select("id", F.col("own").alias("prediction"), _point_score())
+
+
+def silhouettes(pts: DataFrame, runs: DataFrame) -> DataFrame:
+    """run, silhouette of many labellings of the same points: runs (run, id, prediction), every point in every run; no row for a run with a single label.
+
+    The distances of a block pair are worked out once for all runs; only
+    sums by point, run and cluster leave a task.
+    """
+    held = runs.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("run", "prediction"))).alias("r"))  # a point's labels: as many as there are runs
+    labelled = pts.select("id", "features").join(held.select("id", F.transform("r", lambda x: x["run"]).alias("runs"), F.transform("r", lambda x: x["prediction"]).alias("labels")), "id")
+
+    def kernel(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        d = matrix(stacked(a), stacked(b))
+        of, mine, theirs = b["runs"].iloc[0], np.stack(a["labels"].to_numpy()), np.stack(b["labels"].to_numpy())
+        ids, out = a["id"].to_numpy(), []
+        for k, run in enumerate(of):
+            names, code = np.unique(theirs[:, k], return_inverse=True)
+            hot = np.zeros((len(b), len(names)))
+            hot[np.arange(len(b)), code] = 1.0
+            total, n = d @ hot, hot.sum(0).astype(np.int64)
+            m = len(names)
+            out.append(pd.DataFrame({"run": run, "id": np.repeat(ids, m), "own": np.repeat(mine[:, k], m), "cluster": np.tile(names, len(a)), "total": total.ravel(), "n": np.tile(n, len(a))}))
+        return pd.concat(out)
+
+    sums = block_pairs(labelled, labelled, kernel, "run bigint, id bigint, own bigint, cluster bigint, total double, n bigint")
+    per = sums.groupBy("run", "id", "own", "cluster").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    s = per.groupBy("run", "id", "own").agg(*_sides())
+    each = s.select("run", "own", _point_score())
+    return each.groupBy("run").agg(F.avg("s").alias("silhouette"), F.count_distinct("own").alias("_k")).where("_k > 1").drop("_k")
+
+
+def _sides() -> list[Column]:
     mine = F.col("cluster") == F.col("own")
-    ab = per.groupBy("id", "own").agg(
+    return [
         F.max(F.when(mine, F.col("n"))).alias("size"),
-        F.max(F.when(mine & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
+        F.max(F.when(mine & (F.col("n") > 1), F.col("total") / F.nullif(F.col("n") - 1, F.lit(0)))).alias("a"),
         F.min(F.when(~mine, F.col("total") / F.col("n"))).alias("b"),
-    )
+    ]
+
+
+def _point_score() -> Column:
     top = F.greatest("a", "b")
-    return ab.select("id", F.col("own").alias("prediction"), F.when((F.col("size") == 1) | (top == 0), 0.0).otherwise((F.col("b") - F.col("a")) / top).alias("s"))
+    return F.when((F.col("size") == 1) | (top == 0), 0.0).otherwise((F.col("b") - F.col("a")) / F.nullif(top, F.lit(0.0))).alias("s")
 
 
 def silhouette_fast(labelled: DataFrame) -> float:

@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from marlstone.operators.rank import ranks
+from marlstone.session import materialise
+
+
+def _text(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit("nan"))
+
+
+def label_dictionaries(df: DataFrame, columns: list[str]) -> DataFrame:
+    """column, value, code: the distinct texts of each column in binary order from 0; a missing value is the text nan. One pass over df."""
+    cells = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), _text(c).alias("value")) for c in columns))).alias("e")).select("e.*").distinct()
+    return ranks(cells, ["column"], ["value"], "code")
 
 
 def label_dictionary(df: DataFrame, column: str) -> DataFrame:
-    """value, code: distinct texts in binary order from 0; a missing value is the text nan."""
-    v = df.select(F.coalesce(F.col(column).cast("string"), F.lit("nan")).alias("value")).distinct()
-    return v.withColumn("code", F.row_number().over(W.orderBy("value")).cast("bigint") - 1)  # over the distinct values only
+    """value, code of one column."""
+    return label_dictionaries(df, [column]).drop("column")
 
 
-def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Each column replaced by its code; the dictionaries are joined, broadcast by Spark where small."""
+def label_encode(df: DataFrame, columns: list[str], dictionaries: DataFrame | None = None) -> DataFrame:
+    """Each column replaced by its code; the dictionaries are made at once and joined, broadcast by Spark where small."""
+    known = materialise(label_dictionaries(df, columns) if dictionaries is None else dictionaries)
     for c in columns:
-        d = label_dictionary(df, c).withColumnsRenamed({"value": f"_v_{c}", "code": f"_c_{c}"})
-        df = df.join(d, F.coalesce(F.col(c).cast("string"), F.lit("nan")) == F.col(f"_v_{c}")).withColumn(c, F.col(f"_c_{c}")).drop(f"_v_{c}", f"_c_{c}")
-    return df
+        d = known.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}"))
+        df = df.join(d, _text(c) == F.col(f"_v_{c}"))
+    return df.withColumns({c: F.col(f"_c_{c}") for c in columns}).drop(*(f"_{k}_{c}" for k in "vc" for c in columns))
 
 
 def _with(df: DataFrame, fit: DataFrame, aggs: dict) -> DataFrame:

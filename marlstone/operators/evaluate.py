@@ -20,7 +20,7 @@ def confusion(df: DataFrame, labels: list[str]) -> DataFrame:
 
 def report(df: DataFrame, labels: list[str]) -> DataFrame:
     """name, precision, recall, f1, support: a row a label, accuracy, macro avg and weighted avg; 0 where a denominator is 0."""
-    c = confusion(df, labels)
+    c = materialise(confusion(df, labels))  # labels squared rows: the scored rows are read once
     hit = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("tp")
     true = c.groupBy(F.col("label").alias("name")).agg(F.sum("n").alias("support"), hit)
     pred = c.groupBy(F.col("prediction").alias("name")).agg(F.sum("n").alias("guessed"))
@@ -38,6 +38,17 @@ def report(df: DataFrame, labels: list[str]) -> DataFrame:
     return rows.unionByName(summed).unionByName(macro).unionByName(weighted)
 
 
+def text_colours(confused: DataFrame) -> DataFrame:
+    """confused (label, prediction, n) with ``threshold``, half of the largest cell, and whether the cell's text is light on it."""
+    top = confused.agg((F.max("n") / 2).alias("threshold"))
+    return confused.join(F.broadcast(top)).withColumn("light", F.col("n") > F.col("threshold"))
+
+
+def formatted(scores: DataFrame, columns: dict[str, int]) -> DataFrame:
+    """Numbers as texts with a fixed number of places."""
+    return scores.withColumns({c: F.format_string(f"%.{n}f", F.col(c).cast("double")) for c, n in columns.items()})
+
+
 def accuracy(df: DataFrame) -> DataFrame:
     return df.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"))
 

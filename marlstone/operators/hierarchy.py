@@ -1,13 +1,15 @@
-"""Agglomerative clustering: single linkage by components, any linkage by a bounded kernel."""
+"""Agglomerative clustering: single linkage by components or by a minimum spanning tree, average linkage by a bounded kernel."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from marlstone.operators.distance import matrix, neighbours, stacked
-from marlstone.operators.graph import components
+from marlstone.operators.graph import Forest, components
+from marlstone.operators.rank import numbered, ranks
+from marlstone.session import materialise
 
 CAP = 5000
 
@@ -15,8 +17,68 @@ CAP = 5000
 def single_threshold(pts: DataFrame, threshold: float, kind: str = "euclidean") -> DataFrame:
     """id, prediction of single linkage cut at a threshold: components of the edges below it, numbered by smallest id. Any size."""
     comp = components(pts, neighbours(pts, threshold, kind, strict=True))
-    number = comp.select("component").distinct().withColumn("prediction", F.row_number().over(W.orderBy("component")).cast("bigint") - 1)
-    return comp.join(number, "component").select("id", "prediction")
+    return comp.join(numbered(comp, "component", "prediction"), "component").select("id", "prediction")
+
+
+def _tree_of(ids: np.ndarray, d: np.ndarray) -> list[tuple[int, int, float]]:
+    """Minimum spanning tree of a distance matrix; equal distances by the smaller ids (Prim, a row at a time)."""
+    n = len(ids)
+    best, near, out = d[0].copy(), np.zeros(n, np.int64), []
+    done = np.zeros(n, bool)
+    done[0] = True
+    for _ in range(n - 1):
+        j = int(np.where(done, np.inf, best).argmin())
+        a, b = sorted((int(ids[near[j]]), int(ids[j])))
+        out.append((a, b, float(best[j])))
+        done[j] = True
+        closer = d[j] < best
+        best[closer], near[closer] = d[j][closer], j
+    return out
+
+
+def spanning_tree(pts: DataFrame, kind: str = "euclidean", block: int = 1024, fan: int = 16) -> DataFrame:
+    """id, other, distance: a minimum spanning tree of the points, at any number of them.
+
+    Every pair of blocks gives the tree of its own points (an edge that is the
+    largest of a cycle there is in no tree of the whole), then the trees are
+    merged as a tree of tasks. Work is quadratic by definition; what moves is
+    2 * block edges a pair of blocks, and the last merge holds an edge a point.
+    """
+    n = max(1, -(-pts.count() // block))
+    own = F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    pts = pts.select("id", "features", own.alias("_b"))
+    # every pair of blocks once: a block meets itself through its pairs, or alone if it is the only one
+    other = F.explode(F.sequence(F.lit(0), F.lit(n - 1)) if n == 1 else F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda x: x != F.col("_b")))
+    pairs = pts.withColumn("_o", other).withColumns({"_i": F.least("_b", "_o"), "_j": F.greatest("_b", "_o")})
+
+    def local(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id").reset_index(drop=True)
+        x = stacked(pdf)
+        return pd.DataFrame(_tree_of(pdf["id"].to_numpy(), matrix(x, x, kind)), columns=["id", "other", "distance"])
+
+    edges = pairs.groupBy("_i", "_j").applyInPandas(local, "id bigint, other bigint, distance double")
+
+    def kept(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates(["id", "other"]).sort_values(["distance", "id", "other"])
+        forest = Forest()
+        keep = [forest.join(a, b) for a, b in zip(pdf["id"].tolist(), pdf["other"].tolist())]
+        return pdf[keep]
+
+    parts = max(1, n * (n - 1) // 2)
+    edges = edges.withColumn("g", F.pmod(F.xxhash64("id", "other"), F.lit(parts)))
+    while parts > 1:
+        parts = -(-parts // fan)
+        edges = edges.withColumn("g", F.pmod("g", F.lit(parts)))
+        edges = edges.groupBy("g").applyInPandas(kept, edges.select("id", "other", "distance", "g").schema)
+    return materialise(edges.select("id", "other", "distance"))
+
+
+def single_clusters(pts: DataFrame, n_clusters: int, kind: str = "euclidean") -> DataFrame:
+    """id, prediction of single linkage cut into n_clusters: the tree without its n_clusters - 1 longest edges. Any size."""
+    tree = spanning_tree(pts, kind)
+    longest = tree.orderBy(F.desc("distance"), F.desc("id"), F.desc("other")).limit(max(0, n_clusters - 1)).select("id", "other")
+    comp = components(pts, tree.join(longest, ["id", "other"], "left_anti"))
+    return comp.join(numbered(comp, "component", "prediction"), "component").select("id", "prediction")
 
 
 def merge_list(d: np.ndarray, method: str) -> list[tuple[int, int, float, int]]:
@@ -52,23 +114,21 @@ def merge_list(d: np.ndarray, method: str) -> list[tuple[int, int, float, int]]:
         d[a, a] = np.inf
         size[a] += size[b]
         alive[b] = False
-    raw.sort(key=lambda m: m[2])
-    parent, ident, count = list(range(n)), list(range(n)), [1] * n
+    return numbered_merges(raw, n)
 
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
 
+def numbered_merges(raw: list[tuple[int, int, float]], n: int) -> list[tuple[int, int, float, int]]:
+    """Pairs of leaves in any order -> merges in order of distance, with the numbers and sizes of the clusters they join."""
+    forest, ident, count = Forest(), list(range(n)), [1] * n
     out = []
-    for step, (a, b, dist) in enumerate(raw):
-        x, y = root(a), root(b)
+    for step, (a, b, dist) in enumerate(sorted(raw, key=lambda m: m[2])):
+        x, y = forest.root(a), forest.root(b)
         left, right = sorted((ident[x], ident[y]))
-        parent[y] = x
-        count[x] += count[y]
-        ident[x] = n + step
-        out.append((left, right, dist, count[x]))
+        forest.join(x, y)
+        top = forest.root(x)
+        count[top] = count[x] + count[y]
+        ident[top] = n + step
+        out.append((left, right, dist, count[top]))
     return out
 
 
@@ -89,12 +149,28 @@ def cut(merges: list[tuple[int, int, float, int]], n: int, threshold: float | No
 def _whole(pts: DataFrame, run, schema: str) -> DataFrame:
     n = pts.limit(CAP + 1).count()
     if n > CAP:
-        raise ValueError(f"linkage needs a distance matrix: at most {CAP} points; use single_threshold, or cluster first")
+        raise ValueError(f"average linkage needs a distance matrix: at most {CAP} points; use single linkage, or cluster first")
     return pts.select("id", "features", F.lit(0).alias("_all")).groupBy("_all").applyInPandas(lambda pdf: run(pdf.sort_values("id").reset_index(drop=True)), schema)
 
 
 def linkage(pts: DataFrame, method: str = "average", kind: str = "euclidean") -> DataFrame:
-    """step, left, right, distance, size: the merge table; leaves are numbered by id order. At most CAP points."""
+    """step, left, right, distance, size: the merge table; leaves are numbered by id order.
+
+    Single linkage takes any number of points: its merges are the edges of the
+    spanning tree in order, a task that holds an edge a point. Average linkage
+    takes at most CAP points.
+    """
+    if method == "single":
+        leaf = ranks(pts.select("id"), [], ["id"], "i")
+        tree = spanning_tree(pts, kind).join(leaf.select("id", "i"), "id").join(leaf.select(F.col("id").alias("other"), F.col("i").alias("j")), "other")
+
+        def order(pdf: pd.DataFrame) -> pd.DataFrame:
+            rows = pdf.sort_values(["distance", "i", "j"])[["i", "j", "distance"]].itertuples(index=False, name=None)
+            m = pd.DataFrame(numbered_merges(list(rows), len(pdf) + 1), columns=["left", "right", "distance", "size"])
+            m.insert(0, "step", range(len(m)))
+            return m
+
+        return tree.select("i", "j", "distance", F.lit(0).alias("_all")).groupBy("_all").applyInPandas(order, "step bigint, left bigint, right bigint, distance double, size bigint")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x = stacked(pdf)
@@ -105,12 +181,35 @@ def linkage(pts: DataFrame, method: str = "average", kind: str = "euclidean") ->
     return _whole(pts, run, "step bigint, left bigint, right bigint, distance double, size bigint")
 
 
+def cuts(pts: DataFrame, method: str, kind: str, at: list[dict]) -> DataFrame:
+    """run, id, prediction for each cut ({"threshold": t} or {"n_clusters": n}) of one clustering, worked out once."""
+    if method == "single":
+        tree, out = spanning_tree(pts, kind), None
+        for run, c in enumerate(at):
+            if "threshold" in c:
+                edges = tree.where(F.col("distance") < c["threshold"])
+            else:
+                longest = tree.orderBy(F.desc("distance"), F.desc("id"), F.desc("other")).limit(max(0, c["n_clusters"] - 1)).select("id", "other")
+                edges = tree.join(longest, ["id", "other"], "left_anti")
+            comp = components(pts, edges)
+            one = comp.join(numbered(comp, "component", "prediction"), "component").select(F.lit(run).cast("bigint").alias("run"), "id", "prediction")
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    def run_all(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = stacked(pdf)
+        merges = merge_list(matrix(x, x, kind), method)
+        return pd.concat([pd.DataFrame({"run": k, "id": pdf["id"], "prediction": cut(merges, len(pdf), c.get("threshold"), c.get("n_clusters"))}) for k, c in enumerate(at)])
+
+    return _whole(pts, run_all, "run bigint, id bigint, prediction bigint")
+
+
 def agglomerative(pts: DataFrame, method: str = "average", kind: str = "euclidean", threshold: float | None = None, n_clusters: int | None = None) -> DataFrame:
-    """id, prediction. Single linkage with a threshold has no bound on points; the rest at most CAP."""
+    """id, prediction. Single linkage has no bound on points; average linkage takes at most CAP."""
     if (threshold is None) == (n_clusters is None):
         raise ValueError("give threshold or n_clusters")
-    if method == "single" and threshold is not None:
-        return single_threshold(pts, threshold, kind)
+    if method == "single":
+        return single_threshold(pts, threshold, kind) if threshold is not None else single_clusters(pts, n_clusters, kind)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x = stacked(pdf)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
+from marlstone.operators.column_profile import ranked_curves
+
 
 def shape(df: DataFrame) -> DataFrame:
     """n_rows, n_cols in one row."""
@@ -29,17 +31,25 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """column, count, mean, std (sample), min, q25, q50, q75 (linear interpolation, exact), max of numeric columns; NaN counts as null."""
+    """column, count, mean, std (sample), min, q25, q50, q75 (linear interpolation, exact), max of numeric columns; NaN counts as null.
+
+    Quartiles come from the ranks of the counted values, so that no task holds
+    the distinct values of a column.
+    """
     cols = columns or [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
-    stats = {
-        "count": lambda x: F.count(x), "mean": lambda x: F.avg(x), "std": lambda x: F.stddev_samp(x), "min": lambda x: F.min(x),
-        "q": lambda x: F.percentile(x, [0.25, 0.5, 0.75]), "max": lambda x: F.max(x),
-    }
     clean = df.select(*(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols))
-    row = clean.agg(*(f(F.col(c)).alias(f"{c}|{s}") for c in cols for s, f in stats.items()))
-    at = lambda c, s: F.col(f"`{c}|{s}`")
-    values = {c: [at(c, "count"), at(c, "mean"), at(c, "std"), at(c, "min"), *(at(c, "q")[i] for i in range(3)), at(c, "max")] for c in cols}
-    return _long(row, values, ["count", "mean", "std", "min", "q25", "q50", "q75", "max"])
+    cells = clean.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("x")) for c in cols))).alias("e")).select("e.*")
+    x = F.col("x")
+    stats = cells.groupBy("column").agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    counts = cells.where("x is not null").groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
+    curves = ranked_curves(counts.select(F.col("column").alias("field"), F.lit(None).cast("string").alias("grp"), F.lit(0).cast("bigint").alias("load"), x.alias("number"), "n"))
+    size = curves.groupBy("field").agg(F.sum("n").alias("size"))
+    at = lambda r: F.max(F.when((F.col("below") <= r) & (r < F.col("below") + F.col("n")), F.col("number")))
+    h = lambda p: F.lit(p) * (F.col("size") - 1)
+    probs = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    q = curves.join(size, "field").groupBy(F.col("field").alias("_c"), "size").agg(*(at(f(h(p))).alias(f"{k}_{s}") for k, p in probs.items() for s, f in (("l", F.floor), ("u", F.ceil))))
+    mid = {k: F.col(f"{k}_l") + (h(p) - F.floor(h(p))) * (F.col(f"{k}_u") - F.col(f"{k}_l")) for k, p in probs.items()}
+    return stats.join(q, F.col("column") == F.col("_c"), "left").select("column", "count", "mean", "std", "min", *(v.alias(k) for k, v in mid.items()), "max")
 
 
 def head(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:

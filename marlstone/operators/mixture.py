@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marlstone.operators import kmeans
 from marlstone.operators.distance import stacked
+from marlstone.session import materialise
 
 COVARIANCES = ("full", "tied", "diag", "spherical")
 
@@ -121,6 +122,17 @@ def evaluation_grid(pts: DataFrame, i: int = 0, j: int = 1, steps: int = 100) ->
     return g.select("id", F.array(at(lo_x, hi_x, F.pmod("id", F.lit(steps))), at(lo_y, hi_y, F.floor(F.col("id") / steps))).alias("features"))
 
 
+def pair_contours(pts: DataFrame, dims: int, k: int = 3, covariance: str = "full", seed: int = 42, steps: int = 100) -> DataFrame:
+    """dim_i, dim_j, x, y, logp: for every pair of features i < j the density of a mixture fitted to the two alone."""
+    out = None
+    for i in range(dims):
+        for j in range(i + 1, dims):
+            two = materialise(pts.select("id", F.array(F.col("features")[i], F.col("features")[j]).alias("features")))
+            one = density_grid(two, fit(two, k, covariance, seed), 0, 1, steps).select(F.lit(i).cast("bigint").alias("dim_i"), F.lit(j).cast("bigint").alias("dim_j"), "x", "y", "logp")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 def density_grid(pts: DataFrame, model: Mixture, i: int = 0, j: int = 1, steps: int = 100) -> DataFrame:
     """x, y, logp of a two-feature mixture."""
     f = F.col("features")

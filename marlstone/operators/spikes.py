@@ -89,13 +89,14 @@ _SOUND = "dist > 0 and fare > 0 and dur > 0"
 def _rough(r: DataFrame, rules: SpikeRules) -> DataFrame:
     """A row a source: usual sizes of the readings, from mergeable quantile sketches."""
     med = lambda x, p=0.5: F.percentile_approx(F.when(F.expr(_SOUND), x), p, 500)
+    fares = r.where((F.col("rate_type") == rules.flat) & F.col("fare").isNotNull()).groupBy("source", F.round("fare", 2).alias("fare")).agg(F.count(F.lit(1)).alias("n"))
+    flat = fares.groupBy("source").agg(F.min_by("fare", F.struct(-F.col("n"), F.col("fare"))).alias("flat_fare"))
     return r.groupBy("source").agg(
         med(F.ln("dist")).alias("m_dist"),
         med(F.ln("dur")).alias("m_dur"),
         med(F.ln("fare")).alias("m_fare"),
         med(F.col("dur"), 0.995).alias("long_dur"),
-        F.mode(F.when(F.col("rate_type") == rules.flat, F.round("fare", 2)), deterministic=True).alias("flat_fare"),
-    )
+    ).join(flat, "source", "left")
 
 
 def _log_speed() -> Column:

@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from marlstone.operators.rank import ranks
 
 
 def md5_order(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
 
 
-def class_rank(df: DataFrame, key: str, label: str, seed: int, slices: int = 64) -> DataFrame:
-    """df with ``rank`` (from 1) and ``size`` of its class by md5 order.
-
-    A class may hold most rows: it is ranked in ``slices`` ranges of the hash
-    (its first two hex digits), shifted by the counts of the ranges before.
-    """
-    h = md5_order(key, seed)
-    d = df.withColumns({"_h": h, "_s": F.floor(F.conv(F.substring(h, 1, 2), 16, 10).cast("int") * slices / 256)})
-    inner = F.row_number().over(W.partitionBy(label, "_s").orderBy("_h", key))
-    per = d.groupBy(label, "_s").agg(F.count(F.lit(1)).alias("_n"))
-    w = W.partitionBy(label)
-    per = per.select(F.col(label).alias("_l"), F.col("_s").alias("_s2"), (F.sum("_n").over(w.orderBy("_s")) - F.col("_n")).alias("_base"), F.sum("_n").over(w).alias("size"))
-    j = d.withColumn("_r", inner).join(per, F.col(label).eqNullSafe(F.col("_l")) & (F.col("_s") == F.col("_s2")))
-    return j.withColumn("rank", F.col("_base") + F.col("_r")).drop("_h", "_s", "_l", "_s2", "_base", "_r")
+def class_rank(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
+    """df with ``rank`` (from 1) and ``size`` of its class by md5 order; a class may hold most rows, its ranges are ranked apart."""
+    d = ranks(df.withColumn("_h", md5_order(key, seed)), [label], ["_h", key]).drop("_h")
+    size = d.groupBy(F.col(label).alias("_l")).agg(F.count(F.lit(1)).alias("size"))
+    return d.join(size, F.col(label).eqNullSafe(F.col("_l"))).drop("_l").withColumn("rank", F.col("rank") + 1)
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.3, seed: int = 42) -> DataFrame:

@@ -2,53 +2,84 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable
 from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marlstone.operators import density, hierarchy, kmeans, mixture
-from marlstone.operators.distance import neighbours, silhouette
+from marlstone.operators.distance import neighbours, silhouettes
 from marlstone.session import materialise
 
 SCHEMA = "ord bigint, algorithm string, params map<string,string>, score double"
 
 
-def run(spark: SparkSession, algorithm: str, grid: list[dict], score: Callable[[dict], float | None], threads: int = 4) -> DataFrame:
-    """ord, algorithm, params, score of each combination that has a score; independent runs share a few threads."""
-    with ThreadPoolExecutor(threads) as pool:
-        scores = list(pool.map(score, grid))
-    rows = [(i, algorithm, {k: str(v) for k, v in p.items()}, s) for i, (p, s) in enumerate(zip(grid, scores)) if s is not None]
+def scored(spark: SparkSession, algorithm: str, grid: list[dict], pts: DataFrame, runs: DataFrame) -> DataFrame:
+    """ord, algorithm, params, score of each run with more than one label; runs (run, id, prediction), run being the place in the grid."""
+    scores = {r["run"]: r["silhouette"] for r in silhouettes(pts, runs).collect()}  # a number a run
+    return _table(spark, [(i, algorithm, {k: str(v) for k, v in p.items()}, scores[i]) for i, p in enumerate(grid) if i in scores])
+
+
+def _table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, SCHEMA)
 
 
 def best(results: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Highest score, the earliest of a tie; per group of ``by``."""
     first = F.max_by(F.struct("ord", "algorithm", "params", "score"), F.struct(F.col("score"), -F.col("ord"))).alias("b")
-    return (results.groupBy(*by).agg(first) if by else results.agg(first)).where("b is not null").select("b.*")
+    return (results.groupBy(*by).agg(first) if by else results.agg(first)).where("b is not null").select(*(by or []), *(f"b.{c}" for c in ("ord", "algorithm", "params", "score") if c not in (by or [])))
+
+
+def _stack(labelled: list[DataFrame]) -> DataFrame:
+    out = None
+    for k, df in enumerate(labelled):
+        one = df.select(F.lit(k).cast("bigint").alias("run"), "id", "prediction")
+        out = one if out is None else out.unionByName(one)
+    return materialise(out)
 
 
-def _score(labelled: DataFrame, pts: DataFrame) -> float | None:
-    row = silhouette(pts.join(labelled.select(F.col("id").alias("_id"), F.col("prediction").alias("prediction")), F.col("id") == F.col("_id")).drop("_id")).first()
-    return row[0] if row else None
+def kmeans_sweep(pts: DataFrame, ks: list[int] | range = range(2, 8), seed: int = 42) -> DataFrame:
+    grid = [{"k": k} for k in ks]
+    return scored(pts.sparkSession, "kmeans", grid, pts, _stack([kmeans.mllib(pts, p["k"], seed, 1)[0] for p in grid]))
 
 
-def kmeans_sweep(pts: DataFrame, ks: list[int], seed: int = 42) -> DataFrame:
-    return run(pts.sparkSession, "kmeans", [{"k": k} for k in ks], lambda p: _score(kmeans.mllib(pts, p["k"], seed, 1)[0], pts))
+# The default grids of the sweeps.
+EPS = tuple(0.1 + 2.9 * i / 9 for i in range(10))
+MIN_SAMPLES = tuple(range(5, 26))
 
 
-def dbscan_sweep(pts: DataFrame, eps: list[float], min_samples: list[int]) -> DataFrame:
+def dbscan_sweep(pts: DataFrame, eps: Iterable[float] = EPS, min_samples: Iterable[int] = MIN_SAMPLES) -> DataFrame:
     """One neighbour table at the largest eps serves every run; noise counts as a cluster of the score."""
-    edges = materialise(neighbours(pts, max(eps)))
-    grid = [{"eps": e, "min_samples": m} for e, m in product(eps, min_samples)]
-    return run(pts.sparkSession, "dbscan", grid, lambda p: _score(density.dbscan(pts, p["eps"], p["min_samples"], edges), pts))
+    grid = list(product(eps, min_samples))
+    edges = materialise(neighbours(pts, max(e for e, _ in grid)))
+    runs = materialise(density.dbscan_runs(pts, edges, grid))
+    return scored(pts.sparkSession, "dbscan", [{"eps": round(e, 6), "min_samples": m} for e, m in grid], pts, runs)
 
 
 def hierarchical_sweep(pts: DataFrame, metrics: tuple = ("euclidean", "cityblock", "cosine"), linkages: tuple = ("average", "single"), thresholds: tuple = (10.0, 20.0), n_clusters: int = 2) -> DataFrame:
-    grid = [{"metric": m, "linkage": k, "threshold": t} for m, k, t in product(metrics, linkages, thresholds)] + [{"metric": m, "linkage": k, "n_clusters": n_clusters} for m, k in product(metrics, linkages)]
-    return run(pts.sparkSession, "hierarchical", grid, lambda p: _score(hierarchy.agglomerative(pts, p["linkage"], p["metric"], p.get("threshold"), p.get("n_clusters")), pts))
+    """A metric and linkage is worked out once for all its cuts; the score is Euclidean in any case."""
+    grid, parts = [], []
+    for m, k in product(metrics, linkages):
+        at = [*({"threshold": t} for t in thresholds), {"n_clusters": n_clusters}]
+        parts.append(hierarchy.cuts(pts, k, m, at).withColumn("run", F.col("run") + len(grid)))
+        grid += [{"metric": m, "linkage": k, **c} for c in at]
+    runs = parts[0]
+    for x in parts[1:]:
+        runs = runs.unionByName(x)
+    return scored(pts.sparkSession, "hierarchical", grid, pts, materialise(runs))
 
 
 def mixture_sweep(pts: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
-    return run(pts.sparkSession, "gaussian mixture", [{"covariance": c} for c in mixture.COVARIANCES], lambda p: _score(mixture.predict(pts, mixture.fit(pts, k, p["covariance"], seed)), pts))
+    grid = [{"covariance": c} for c in mixture.COVARIANCES]
+    return scored(pts.sparkSession, "gaussian mixture", grid, pts, _stack([mixture.predict(pts, mixture.fit(pts, k, p["covariance"], seed)) for p in grid]))
+
+
+def compare(datasets: dict[str, DataFrame]) -> DataFrame:
+    """dataset, algorithm, params, score: the best run of each of the four algorithms on each set of points, by the default grids."""
+    out = None
+    for name, pts in datasets.items():
+        pts = materialise(pts.select("id", "features"))
+        for sweep in (kmeans_sweep, hierarchical_sweep, dbscan_sweep, mixture_sweep):
+            one = best(sweep(pts)).select(F.lit(name).alias("dataset"), "algorithm", "params", "score")
+            out = one if out is None else out.unionByName(one)
+    return out

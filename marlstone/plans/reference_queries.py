@@ -8,6 +8,7 @@ from marlstone.functions.scalars import real_number
 from marlstone.operators import clean, density, distance, encode, evaluate, graph, hierarchy, inspect, kmeans, mixture, plotdata, split, sweep
 from marlstone.operators import classify as models
 from marlstone.plans.reference_sql import oracle_sql  # noqa: F401
+from marlstone.session import materialise
 from marlstone.sources import generators
 from marlstone.sources.tables import table
 
@@ -47,9 +48,10 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    """id, features, label of the trips with a price."""
-    c = _clean(spark, d).where("price_category is not null")
-    return c.select(F.col("record_id").alias("id"), F.array(*(F.col(x).cast("double") for x in FEATURES)).alias("features"), F.col("price_category").alias("label"))
+    """id, features, label of the trips with a price: all columns but times, total and keys; the coded ones by codes over all cleaned rows. Written once."""
+    c = _clean(spark, d).select("record_id", "price_category", *FEATURES, *CODED)
+    c = encode.label_encode(c, CODED).where("price_category is not null")
+    return materialise(c.select(F.col("record_id").alias("id"), F.array(*(F.col(x).cast("double") for x in (*FEATURES, *CODED))).alias("features"), F.col("price_category").alias("label")))
 
 
 def _heads(spark: SparkSession, d: str) -> tuple[DataFrame, list[list[float]]]:
@@ -217,7 +219,7 @@ EPS, MIN_SAMPLES = 1.15, 3
 
 def q_silhouette_fast(spark, d):
     v = _vectors(spark, d).withColumn("prediction", F.col("label").cast("int"))
-    return spark.createDataFrame([(distance.silhouette_fast(v),)], "silhouette double")
+    return _round(spark.createDataFrame([(distance.silhouette_fast(v),)], "silhouette double"), "silhouette", places=6)
 
 
 def q_neighbors_eps(spark, d):
@@ -257,25 +259,44 @@ def q_linkage_merges(spark, d):
     return hierarchy.linkage(_vectors(spark, d).drop("label"), "average")
 
 
+def q_linkage_merges_single(spark, d):
+    return _round(hierarchy.linkage(_vectors(spark, d).drop("label"), "single"), "distance")
+
+
 def q_hierarchical_sweep(spark, d):
-    return sweep.hierarchical_sweep(_vectors(spark, d).drop("label"), metrics=("euclidean", "cosine"), thresholds=(1.2,))
+    return sweep.hierarchical_sweep(_plane(spark, d))
 
 
 def q_dbscan_sweep(spark, d):
-    return sweep.dbscan_sweep(_vectors(spark, d).drop("label"), [1.15, 1.18], [3, 5])
+    return sweep.dbscan_sweep(_plane(spark, d))
 
 
 def q_sweep_best(spark, d):
     return sweep.best(q_dbscan_sweep(spark, d))
 
 
+def q_dbscan_labels_by_run(spark, d):
+    """eps, min_samples, labels (noise is one) of a small grid on the vectors."""
+    pts, grid = _vectors(spark, d).drop("label"), [(1.15, 3), (1.15, 5), (1.18, 3), (1.18, 5)]
+    runs = density.dbscan_runs(pts, distance.neighbours(pts, 1.18), grid)
+    names = spark.createDataFrame([(k, e, m) for k, (e, m) in enumerate(grid)], "run bigint, eps double, min_samples bigint")
+    n = runs.groupBy("run").agg(F.count_distinct("prediction").alias("labels"), F.count_if(F.col("prediction") == -1).alias("noise"))
+    return names.join(n, "run").drop("run")
+
+
+def q_kmeans_silhouettes(spark, d):
+    """k, silhouette, k = 2 .. 7."""
+    s = sweep.kmeans_sweep(_plane(spark, d))
+    return s.select((F.col("ord") + 2).alias("k"), F.col("score").alias("silhouette"))
+
+
 def q_compare_algorithms(spark, d):
-    pts = _vectors(spark, d).drop("label")
-    runs = [sweep.kmeans_sweep(pts, [2, 3, 4]), sweep.hierarchical_sweep(pts, metrics=("euclidean",), thresholds=(1.2,)), sweep.dbscan_sweep(pts, [1.15, 1.18], [3])]
-    out = runs[0]
-    for r in runs[1:]:
-        out = out.unionByName(r)
-    return sweep.best(out, ["algorithm"]).drop("ord")
+    c, plane = _customers(spark, d), table(spark, d, "points").where("x is not null and y is not null")
+    sets = {}
+    for name, df, cols in (("points", plane, ["x", "y"]), ("customers", c, CUSTOMER)):
+        sets[f"{name} raw"] = distance.points(df, "id", cols)
+        sets[f"{name} normalised"] = distance.points(encode.minmax_scale(df.select("id", *cols), cols), "id", cols)
+    return sweep.compare(sets)
 
 
 # ---------------------------------------------------------------- mixtures
@@ -312,6 +333,20 @@ def q_gmm_logdensity_grid(spark, d):
     return mixture.density_grid(pts, mixture.fit(pts, 3))
 
 
+def q_gmm_contours(spark, d):
+    """dim_i, dim_j, x, y, logp: a mixture fitted anew to every pair of features."""
+    cols = CUSTOMER[:3]
+    c = encode.minmax_scale(_customers(spark, d), cols)
+    return mixture.pair_contours(distance.points(c, "id", cols), len(cols))
+
+
+def q_gmm_fixed_grid(spark, d):
+    import numpy as np
+
+    m = mixture.Mixture(np.array([0.25, 0.75]), np.array([[0.0, 0.0], [5.0, -2.0]]), np.array([np.diag([4.0, 1.0]), np.diag([9.0, 16.0])]), 0.0, 0)
+    return mixture.predict(mixture.evaluation_grid(_plane(spark, d)), m).select("id", F.round("log_density", 4).alias("logp"))
+
+
 def q_gmm_fixed_density(spark, d):
     import numpy as np
 
@@ -323,7 +358,7 @@ def q_gmm_fixed_density(spark, d):
 
 
 def _held_out(spark, d):
-    s = split.stratified_split(_labelled(spark, d), "id", "label")
+    s = materialise(split.stratified_split(_labelled(spark, d), "id", "label"))
     return s.where("not is_test").drop("is_test"), s.where("is_test").drop("is_test")
 
 
@@ -394,11 +429,11 @@ def q_cv_by_model(spark, d):
 
 def _scaled(train, test):
     """Features of both standardised by the training rows."""
-    n = len(FEATURES)
+    n = len(FEATURES) + len(CODED)
     wide = lambda df: df.select("id", "label", *(F.col("features")[j].alias(f"f{j}") for j in range(n)))
     cols = [f"f{j}" for j in range(n)]
     fit = wide(train)
-    back = lambda df: encode.standard_scale(wide(df), cols, fit).select("id", "label", F.array(*cols).alias("features"))
+    back = lambda df: materialise(encode.standard_scale(wide(df), cols, fit).select("id", "label", F.array(*cols).alias("features")))
     return back(train), back(test)
 
 
@@ -423,6 +458,41 @@ def q_forest_fit(spark, d):
     return _scored(spark, d, models.forest)
 
 
+def q_learning_curve_nb(spark, d):
+    f = split.stratified_folds(_labelled(spark, d), "id", "label", 3)
+    return _round(evaluate.learning_curve(f, models.gaussian_nb, 3, (0.5, 1.0)), "train_accuracy", "test_accuracy")
+
+
+def q_cv_stratified(spark, d):
+    f = split.stratified_folds(_labelled(spark, d), "id", "label", 3)
+    return _round(evaluate.cross_validate(f, models.gaussian_nb, 3), "accuracy")
+
+
+def q_confusion_colours(spark, d):
+    return evaluate.text_colours(evaluate.confusion(_nb_predictions(spark, d), LABELS))
+
+
+def q_scores_as_text(spark, d):
+    """fold and accuracy with three places."""
+    return evaluate.formatted(q_cv_plain(spark, d), {"accuracy": 3})
+
+
+def q_reports_by_model(spark, d):
+    """The report of each model on the held-out part."""
+    fit, test = _scaled(*_held_out(spark, d))
+    out = None
+    for name in models.MODELS:
+        one = evaluate.report(models.MODELS[name](fit)(test), LABELS).select(F.lit(name).alias("model"), "name", "precision", "recall", "f1", "support")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_in_sample_confusion(spark, d):
+    """Confusion of the L2 one-vs-rest logistic model on the rows it was fitted on."""
+    df = _labelled(spark, d)
+    return evaluate.confusion(models.logistic_ovr(df)(df), LABELS)
+
+
 def q_learning_curve(spark, d):
     f = split.stratified_folds(_labelled(spark, d), "id", "label", 3)
     return evaluate.curve_band(evaluate.learning_curve(f, models.logistic_ovr, 3))

@@ -9,7 +9,7 @@ NUMBERS = ["passenger_count", "trip_distance", "fare_amount", "extra", "total_am
 CODED = ["vendor", "store_and_fwd_flag", "rate_type", "payment_type", "trip_type", "pu_location", "do_location"]
 TRIPS = ["record_id", "trip_id", "load_id", "meter_id", "vendor", "lpep_pickup_datetime", "lpep_dropoff_datetime", "passenger_count", "trip_distance", "rate_type", "store_and_fwd_flag", "pu_location", "do_location", "payment_type", "trip_type", "fare_amount", "extra", "ehail_fee", "congestion_surcharge", "total_amount"]
 K = 4
-
+_TYPES = {"record_id": "bigint", "trip_id": "bigint", "load_id": "bigint", "passenger_count": "int", "lpep_pickup_datetime": "timestamp_ntz", "lpep_dropoff_datetime": "timestamp_ntz", **dict.fromkeys(("trip_distance", "fare_amount", "extra", "ehail_fee", "congestion_surcharge", "total_amount"), "double")}
 
 def _real(c: str) -> str:
     return f"case when isnan({c}::double) then null else {c}::double end"
@@ -17,12 +17,16 @@ def _real(c: str) -> str:
 
 _PRICE = "case when {0} is null or {0} <= 0 or isnan({0}) then null when {0} <= 10 then 'low' when {0} <= 20 then 'medium' else 'high' end"
 _CLEAN = f"""m as (select passenger_count as pc from trips where passenger_count is not null group by 1 order by count(*) desc, 1 limit 1),
-t as (select record_id, payment_type, coalesce(passenger_count, (select pc from m))::bigint as passenger_count, coalesce({_real('extra')}, 0.0) as extra,
+t as (select record_id, vendor, store_and_fwd_flag, rate_type, payment_type, trip_type, pu_location, do_location, coalesce(passenger_count, (select pc from m))::bigint as passenger_count, coalesce({_real('extra')}, 0.0) as extra,
  {_real('trip_distance')} as trip_distance, {_real('fare_amount')} as fare_amount, {_real('total_amount')} as total_amount,
  hour(lpep_pickup_datetime)::bigint as pickup_hour, (isodow(lpep_pickup_datetime) - 1)::bigint as pickup_day_of_week,
  date_diff('microsecond', lpep_pickup_datetime, lpep_dropoff_datetime) / 6e7::double as trip_duration from trips where payment_type is not null),
 c as (select *, {_PRICE.format('total_amount')} as price_category from t where trip_duration > 1 and trip_duration < 120 and trip_distance > 0 and trip_distance < 100 and fare_amount > 0 and fare_amount < 500)"""
-_LABELLED = f"""{_CLEAN}, l as (select record_id as id, {', '.join(f'{x}::double as f{i}' for i, x in enumerate(FEATURES))}, price_category as label from c where price_category is not null)"""
+_TEXT = "coalesce({0}::varchar, 'nan')"
+_CODES = ", ".join(f"k_{c} as (select v, row_number() over (order by v) - 1 as code from (select distinct {_TEXT.format(c)} as v from c))" for c in CODED)
+_CODED_JOINS = " ".join(f"join k_{c} on k_{c}.v = {_TEXT.format('c.' + c)}" for c in CODED)
+_INPUTS = [f"c.{x}" for x in FEATURES] + [f"k_{c}.code" for c in CODED]
+_LABELLED = f"""{_CLEAN}, {_CODES}, l as materialized (select record_id as id, {', '.join(f'{x}::double as f{i}' for i, x in enumerate(_INPUTS))}, price_category as label from c {_CODED_JOINS} where price_category is not null)"""
 _RANKED = f"""{_LABELLED}, r as (select *, row_number() over (partition by label order by md5(id::varchar || '|42'), id) as rk, count(*) over (partition by label) as size from l)"""
 _SPLIT = f"{_RANKED}, s as (select *, rk <= floor(size * 0.3 + 0.5) as is_test from r)"
 _CUSTOMERS = f"cu as (select id, {', '.join(f'coalesce(max({_real(c)}), 0.0) as {c}' for c in CUSTOMER)} from customer_data group by id)"
@@ -35,7 +39,7 @@ _REACH = "reach(id, root) as (select id, id from {core} union select e.other, r.
 
 
 def _nb(train: str, test: str) -> str:
-    n = len(FEATURES)
+    n = len(_INPUTS)
     moments = ", ".join(f"avg(f{i}) as m{i}, var_pop(f{i}) as v{i}" for i in range(n))
     top = f"(select greatest({', '.join(f'var_pop(f{i})' for i in range(n))}) from {train})"
     score = " ".join(f"- 0.5 * ln(2 * pi() * (v{i} + 1e-9 * top)) - (f{i} - m{i}) * (f{i} - m{i}) / (2 * (v{i} + 1e-9 * top))" for i in range(n))
@@ -61,12 +65,30 @@ union all select 'macro avg', round(avg(precision), 4), round(avg(recall), 4), r
 union all select 'weighted avg', round(sum(precision * support) / sum(support), 4), round(sum(recall * support) / sum(support), 4), round(sum(f1 * support) / sum(support), 4), sum(support)::bigint from pf"""
 
 
+def _numbered_nb(train: str, test: str, f: str) -> str:
+    """The model's steps under names that end in f."""
+    nb = _nb(train, test)
+    for name in ("mo", "tot", "sc", "nb"):
+        nb = nb.replace(f"{name} as (", f"{name}{f} as (").replace(f"from {name} ", f"from {name}{f} ").replace(f", {name}, ", f", {name}{f}, ").replace(f", {name})", f", {name}{f})").replace(f"from {name})", f"from {name}{f})")
+    return nb
+
+
+def _curve(k: int, fractions: tuple[float, ...]) -> str:
+    part = "('0x' || substr(md5(id::varchar || '|42'), 1, 8))::bigint / 4294967296.0::double"
+    parts, picks = [f"{_RANKED}, fo as (select *, (rk - 1) % {k} as fold, {part} as part from r)"], []
+    for f in range(k):
+        for n, q in enumerate(fractions):
+            x = f"{f}_{n}"
+            parts.append(f"tr{x} as (select * from fo where fold <> {f} and part < {q}), te{x} as (select * from fo where fold = {f} or part < {q}), {_numbered_nb(f'tr{x}', f'te{x}', x)}")
+            hit = "avg((nb.label = nb.prediction)::int::double)"
+            picks.append(f"select {q}::double as fraction, {f}::bigint as fold, round({hit} filter (fo.fold <> {f} and fo.part < {q}), 4) as train_accuracy, round({hit} filter (fo.fold = {f}), 4) as test_accuracy from nb{x} nb join fo on fo.id = nb.id")
+    return f"with {', '.join(parts)} {' union all '.join(picks)}"
+
+
 def _cv(k: int, fold: str, base: str) -> str:
     parts, picks = [f"{base}, fo as (select *, {fold} as fold from r)"], []
     for f in range(k):
-        nb = _nb(f"tr{f}", f"te{f}")
-        for name in ("mo", "tot", "sc", "nb"):
-            nb = nb.replace(f"{name} as (", f"{name}{f} as (").replace(f"from {name} ", f"from {name}{f} ").replace(f", {name}, ", f", {name}{f}, ").replace(f", {name})", f", {name}{f})").replace(f"from {name})", f"from {name}{f})")
+        nb = _numbered_nb(f"tr{f}", f"te{f}", str(f))
         parts.append(f"tr{f} as (select * from fo where fold <> {f}), te{f} as (select * from fo where fold = {f}), {nb}")
         picks.append(f"select {f}::bigint as fold, avg((label = prediction)::int::double) as accuracy from nb{f}")
     return f"with {', '.join(parts)}, cv as ({' union all '.join(picks)})"
@@ -89,6 +111,20 @@ cc as (select id, cluster from comp join num using (component)), bo as (select e
 select n.id, coalesce(cc.cluster, bo.near, -1)::bigint as prediction from (select id from {{nodes}}) n left join cc on cc.id = n.id left join bo on bo.id = n.id"""
 
 
+def _runs(grid: list[tuple[float, int]]) -> str:
+    """Labels and noise of each run: the components of the core points, and the points without a core neighbour."""
+    pre = _VECTORS + ", pairs as materialized (select a.id as id, b.id as other, list_distance(a.e, b.e) as distance from v a, v b)"
+    g = "grid(run, eps, least) as (values " + ", ".join(f"({k}, {e}, {m})" for k, (e, m) in enumerate(grid)) + ")"
+    return f"""with recursive {pre}, {g}, e as materialized (select run, eps, least, id, other from pairs join grid on distance <= eps),
+core as materialized (select run, id from e group by run, id, least having count(*) >= least),
+ce as materialized (select e.run, e.id, e.other from e join core a on a.run = e.run and a.id = e.id join core b on b.run = e.run and b.id = e.other),
+reach(run, id, root) as (select run, id, id from core union select r.run, ce.other, r.root from reach r join ce on ce.run = r.run and ce.id = r.id),
+comp as (select run, id, min(root) as component from reach group by run, id),
+held as (select distinct e.run, e.id from e join core c on c.run = e.run and c.id = e.other),
+n as (select run, (select count(*) from v) - (select count(*) from held h where h.run = g.run) as noise, (select count(distinct component) from comp c where c.run = g.run) as clusters from grid g)
+select eps::double as eps, least::bigint as min_samples, (clusters + (noise > 0)::int)::bigint as labels, noise::bigint as noise from n join grid using (run)"""
+
+
 def _scale(expr: str) -> str:
     cols = ", ".join(f"round({expr.format(c=c)}, 4) as {c}" for c in CUSTOMER)
     stats = ", ".join(f"avg({c}) as a_{c}, stddev_pop({c}) as s_{c}, min({c}) as l_{c}, max({c}) as h_{c}" for c in CUSTOMER)
@@ -161,6 +197,14 @@ comp as (select id, min(root) as component from reach group by id), num as (sele
         "accuracy": f"with {_NB} select round(avg((label = prediction)::int::double), 4) as accuracy from nb",
         "cv_scores": _cv(5, "(rk - 1) % 5", _RANKED) + " select fold, round(accuracy, 4) as accuracy from cv",
         "cv_mean_std": _cv(5, "(rk - 1) % 5", _RANKED) + " select round(avg(accuracy), 4) as mean, round(stddev_pop(accuracy), 4) as std from cv",
+        "learning_curve_nb": _curve(3, (0.5, 1.0)),
+        "cv_stratified": _cv(3, "(rk - 1) % 3", _RANKED) + " select fold, round(accuracy, 4) as accuracy from cv",
+        "scores_as_text": _cv(3, "('0x' || substr(md5(id::varchar), 1, 8))::bigint % 3", _RANKED) + " select fold, printf('%.3f', round(accuracy, 4)) as accuracy from cv",
+        "confusion_colours": f"with {_CONF} select label, prediction, n, max(n) over () / 2.0::double as threshold, n > max(n) over () / 2.0 as light from cm",
+        "profile_types": " union all ".join(f"select '{c}' as \"column\", '{_TYPES.get(c, 'string')}' as dtype, count({c})::bigint as non_null from trips" for c in TRIPS),
+        "silhouette_fast": f"with {_VECTORS}, {sums.replace('list_distance(a.e, b.e)', 'list_distance(a.e, b.e) ** 2')} select round(avg(s), 6) as silhouette from si",
+        "gmm_fixed_grid": f"with {_PLANE}, bx as (select min(x) - 1 as lx, max(x) + 1 as hx, min(y) - 1 as ly, max(y) + 1 as hy from p), pt as (select i as id, lx + (hx - lx) * (i % 100) / 99 as x, ly + (hy - ly) * (i // 100) / 99 as y from bx, range(10000) r(i)), g as (select id, {g0} as a, {g1} as b from pt) select id, round(greatest(a, b) + ln(1 + exp(-abs(a - b))), 4) as logp from g",
+        "dbscan_labels_by_run": _runs([(1.15, 3), (1.15, 5), (1.18, 3), (1.18, 5)]),
         "cv_plain": _cv(3, "('0x' || substr(md5(id::varchar), 1, 8))::bigint % 3", _RANKED) + " select fold, round(accuracy, 4) as accuracy from cv",
         "cluster_scatter": f"with {_HEADS}, {_ASSIGN} select id, x, y, cluster::bigint as cluster from b",
         "pair_scatter": f"with {_HEADS}, {_ASSIGN} select id, i::bigint as dim_i, j::bigint as dim_j, case when i = 0 then x else y end as x, case when j = 0 then x else y end as y, cluster::bigint as cluster from b, range(2) a1(i), range(2) a2(j)",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import logging
 import tempfile
 import uuid
 
@@ -37,28 +38,40 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write df as Parquet into the shared folder and return a scan of it.
 
     Cuts lineage: a lost executor costs a re-read, never a recomputation of
-    the iterations before. The files go when the application ends.
+    the iterations before. The files go when the application ends, or by
+    ``release``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/marlstone-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._marlstone_path = path
+    return out
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def release(df: DataFrame | None) -> None:
+    """Delete the files of a table that materialise returned; a loop does so for the round before the last."""
+    path = getattr(df, "_marlstone_path", None)
+    if path:
+        _drop(df.sparkSession, path)
+        _written[:] = [x for x in _written if x[1] != path]
+
+
+def _drop(spark: SparkSession, path: str, quiet: bool = False) -> None:
     try:
         jvm = spark._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
         hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
-    except Exception:  # the JVM may be gone already
-        pass
+    except Exception as e:
+        if not quiet:
+            logging.getLogger(__name__).warning("could not delete %s: %s", path, e)
 
 
 @atexit.register
 def _cleanup() -> None:
     for spark, path in _written:
-        _drop(spark, path)
+        _drop(spark, path, quiet=True)  # the JVM may be gone already
     _written.clear()
     if _own_dir:
         import shutil

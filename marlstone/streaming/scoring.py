@@ -15,6 +15,6 @@ def score_stream(stream: DataFrame, model: Fit) -> DataFrame:
     return model.predict(stream)
 
 
-def to_table(scored: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Append the scored rows to an in-memory table; every row of the source once."""
-    return scored.writeStream.outputMode("append").format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def to_parquet(scored: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the scored rows to Parquet files; every row of the source once."""
+    return scored.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

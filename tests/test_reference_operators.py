@@ -185,6 +185,84 @@ def test_linkage(spark):
         hierarchy.agglomerative(pts)
 
 
+@pytest.mark.parametrize("kind", ["euclidean", "cityblock", "cosine"])
+def test_spanning_tree_in_blocks(spark, kind):
+    pts, x = cloud(spark, 60)
+    d = distance.matrix(x, x, kind)
+    want = sorted(w for _, _, w in hierarchy._tree_of(np.arange(60), d))
+    for block in (7, 25, 1000):
+        tree = hierarchy.spanning_tree(pts, kind, block=block, fan=3).collect()
+        assert sorted(r["distance"] for r in tree) == pytest.approx(want) and len(tree) == 59
+        assert all(r["distance"] == pytest.approx(d[r["id"], r["other"]]) for r in tree)
+    # single linkage by the tree equals the kernel's, cut either way
+    leaves = {r["id"]: r["prediction"] for r in hierarchy.single_clusters(pts, 4, kind).collect()}
+    merges = hierarchy.merge_list(d, "single")
+    assert [leaves[i] for i in range(60)] == hierarchy.cut(merges, 60, n_clusters=4).tolist()
+    got = hierarchy.linkage(pts, "single", kind).orderBy("step").collect()
+    assert [r["distance"] for r in got] == pytest.approx([m[2] for m in merges]) and got[-1]["size"] == 60
+    by_cut = hierarchy.cuts(pts, "single", kind, [{"threshold": float(want[-2])}, {"n_clusters": 4}])
+    assert {r["id"]: r["prediction"] for r in by_cut.where("run = 1").collect()} == leaves
+    assert by_cut.where("run = 0").select("prediction").distinct().count() == 3
+
+
+def test_spanning_tree_of_copies_and_of_one_point(spark):
+    same = spark.createDataFrame([(i, [float(i // 4)]) for i in range(12)], "id bigint, features array<double>")
+    tree = hierarchy.spanning_tree(same, block=5).collect()
+    assert sorted(r["distance"] for r in tree) == [0.0] * 9 + [1.0] * 2
+    assert hierarchy.spanning_tree(same.where("id = 3")).count() == 0 and hierarchy.single_clusters(same.where("id = 3"), 2).count() == 1
+
+
+def test_runs_of_a_grid_equal_single_runs(spark):
+    pts, x = cloud(spark)
+    grid = [(0.4, 3), (0.4, 6), (0.9, 4), (1e-6, 2)]
+    edges = distance.neighbours(pts, 0.9)
+    runs = density.dbscan_runs(pts, edges, grid)
+    scores = {r["run"]: r["silhouette"] for r in distance.silhouettes(pts, runs).collect()}
+    for k, (eps, least) in enumerate(grid):
+        one_run = density.dbscan(pts, eps, least)
+        assert sorted(map(tuple, runs.where(F.col("run") == k).select("id", "prediction").collect())) == sorted(map(tuple, one_run.collect()))
+        alone = distance.silhouette(pts.join(one_run, "id")).first()
+        assert (alone is None and k not in scores) or alone[0] == pytest.approx(scores[k])
+
+
+def test_components_of_a_hub_and_a_chain_of_many_parts(spark):
+    rng = np.random.default_rng(0)
+    edges = [(7, i) for i in range(100, 1100)] + [(i, i + 1) for i in range(5000, 5400)] + [(5400, 100)] + [(20_000, 20_001), (20_001, 20_000), (3, 3)]
+    rng.shuffle(edges)
+    e = spark.createDataFrame([(int(a), int(b)) for a, b in edges], "id bigint, other bigint").repartition(6)
+    nodes = spark.createDataFrame([(int(i),) for i in {x for ab in edges for x in ab}], "id bigint")
+    got = {r["id"]: r["component"] for r in graph.components(nodes, e).collect()}
+    assert all(got[i] == (i if i == 3 else 20_000 if i >= 20_000 else 7) for i in got)
+    assert graph.components(nodes.where("false"), e.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("width", ["1", "5"])
+def test_ranks_by_ranges(spark, width):
+    from marlstone.operators.rank import ranks
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    try:
+        rows = [(None if i % 7 == 0 else "a" if i % 3 else "b", i * 37 % 500) for i in range(500)]
+        got = ranks(spark.createDataFrame(rows, "g string, v int"), ["g"], ["v"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for g in (None, "a", "b"):
+        assert [v for _, v in sorted((r["rank"], r["v"]) for r in got if r["g"] == g)] == sorted(v for x, v in rows if x == g)
+        assert sorted(r["rank"] for r in got if r["g"] == g) == list(range(sum(x == g for x, _ in rows)))
+
+
+def test_distances_do_not_depend_on_the_block():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 40)) + 50
+    whole = distance.matrix(x, x)
+    assert np.all(np.diag(whole) == 0)
+    part = np.vstack([distance.matrix(x[i : i + 7], x) for i in range(0, 300, 7)])
+    assert np.allclose(whole, part, rtol=1e-6, atol=1e-9)
+    i, j = np.nonzero(whole < 9)
+    assert np.array_equal(distance.exactly(x[i], x[j]), np.sqrt(((x[i] - x[j]) ** 2).sum(1)))
+
+
 @pytest.mark.parametrize("covariance", mixture.COVARIANCES)
 def test_mixtures(spark, covariance):
     pts, x = cloud(spark)
@@ -291,6 +369,6 @@ def test_stream_scoring(spark, tmp_path):
     pts, x = cloud(spark)
     pts.write.parquet(str(tmp_path / "in"))
     fit = kmeans.Fit([x[0].tolist(), x[50].tolist()], 0.0, 0, "euclidean")
-    q = scoring.to_table(scoring.score_stream(spark.readStream.schema(pts.schema).parquet(str(tmp_path / "in")), fit), "scored", str(tmp_path / "cp"))
+    q = scoring.to_parquet(scoring.score_stream(spark.readStream.schema(pts.schema).parquet(str(tmp_path / "in")), fit), str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination(60)
-    assert sorted(map(tuple, spark.table("scored").select("id", "prediction").collect())) == sorted(map(tuple, fit.predict(pts).select("id", "prediction").collect()))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select("id", "prediction").collect())) == sorted(map(tuple, fit.predict(pts).select("id", "prediction").collect()))
