@@ -32,7 +32,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from marlstone.llm.text import sentences
@@ -57,25 +57,24 @@ class SubjectRules:
     faith: float = 5.0
 
 
-def features(words: list[str], buckets: int, known: dict[str, tuple[int, bytes]] | None = None) -> list[int]:
+def features(words: list[str], buckets: int, known: dict[str, tuple[int, int, bytes]] | None = None) -> list[int]:
     """Hashed words and word pairs of a sentence, once each; numbers are alike.
 
     A pair's checksum goes on from its first word's; ``known`` keeps the words'.
     """
     known = {} if known is None else known
-    out, last = set(), None
+    out, last, crc32 = set(), None, zlib.crc32
     for w in words:
-        if w[0].isdigit():
-            w = "#"
         hit = known.get(w)
         if hit is None:
-            raw = w.encode()
-            hit = known[w] = (zlib.crc32(raw), b" " + raw)
-        out.add(hit[0] % buckets)
+            raw = b"#" if w[0].isdigit() else w.encode()
+            crc = crc32(raw)
+            hit = known[w] = (crc % buckets, crc, b" " + raw)
+        out.add(hit[0])
         if last is not None:
-            out.add(zlib.crc32(hit[1], last) % buckets)
-        last = hit[0]
-    return sorted(out)
+            out.add(crc32(hit[2], last) % buckets)
+        last = hit[1]
+    return list(out)
 
 
 def sentence_table(docs: DataFrame, labels: DataFrame, subjects: list[str], rules: SubjectRules) -> DataFrame:
@@ -87,55 +86,69 @@ def sentence_table(docs: DataFrame, labels: DataFrame, subjects: list[str], rule
     marks = labels.select("doc_id", index.cast("int").alias("k")).where("k >= 0").groupBy("doc_id").agg(F.sort_array(F.collect_set("k")).alias("marks"))  # at most the subjects
     buckets = rules.buckets
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, tuple[int, bytes]] = {}
-        for pdf in batches:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[int, int, bytes]] = {}
+        for batch in batches:
             if len(known) > 500_000:
                 known.clear()
-            feats, lens = [], []
-            for text in pdf["text"]:
-                each = [features(w, buckets, known) for w in sentences(text or "")]
-                feats.append([x for f in each for x in f])
-                lens.append([len(f) for f in each])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "feats": feats, "lens": lens})
-
-    table = docs.select("doc_id", "text").mapInPandas(cut, "doc_id bigint, feats array<int>, lens array<int>").where(F.size("lens") > 0)
+            feats: list[int] = []
+            lens: list[int] = []
+            f_at, l_at = [0], [0]
+            for text in batch.column("text").to_pylist():
+                for w in sentences(text or ""):
+                    one = features(w, buckets, known)
+                    feats += one
+                    lens.append(len(one))
+                f_at.append(len(feats))
+                l_at.append(len(lens))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(feats, f_at), _lists(lens, l_at)], names=["doc_id", "feats", "lens"])
+
+    table = docs.select("doc_id", "text").mapInArrow(cut, "doc_id bigint, feats array<int>, lens array<int>").where(F.size("lens") > 0)
     return table.join(marks, "doc_id", "left").select("doc_id", F.coalesce("marks", F.array().cast("array<int>")).alias("marks"), "feats", "lens")
 
 
 # ---------------------------------------------------------------- one block of documents
 
 
+def _lists(values: list[int] | np.ndarray, at: list[int] | np.ndarray, kind: type = np.int32) -> pa.ListArray:
+    """A list column from its values in turn and the places where the rows end."""
+    return pa.ListArray.from_arrays(pa.array(np.asarray(at, np.int32)), pa.array(np.asarray(values, kind)))
+
+
+def _rows(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column in turn, and the places where the rows end, from 0."""
+    at = column.offsets.to_numpy()
+    return column.values.to_numpy(zero_copy_only=False)[at[0] : at[-1]], at - at[0]
+
+
 @dataclass
 class Block:
-    """Sentences of some documents: flat features, features a sentence, document of a sentence, subjects labelled by document."""
+    """Sentences of some documents: flat features, features a sentence, document of a sentence, labelled subjects in turn and their number by document."""
 
     flat: np.ndarray
     lens: np.ndarray
     owner: np.ndarray
     docs: int
-    marks: list[np.ndarray]
+    marks: np.ndarray
+    marked: np.ndarray
 
     def labelled(self, k: int) -> np.ndarray:
         out = np.zeros((self.docs, k), bool)
-        for i, m in enumerate(self.marks):
-            out[i, m] = True
+        out[np.repeat(np.arange(self.docs), self.marked), self.marks] = True
         return out
 
 
-def blocks(pdf: pd.DataFrame, most: int = 150_000) -> Iterator[tuple[slice, Block]]:
+def blocks(batch: pa.RecordBatch, most: int = 150_000) -> Iterator[tuple[slice, Block]]:
     """Runs of documents with about ``most`` features each; a document is never cut."""
-    size = pdf["feats"].map(len).to_numpy()
+    feats, f_at = _rows(batch.column("feats"))
+    lens, l_at = _rows(batch.column("lens"))
+    marks, m_at = _rows(batch.column("marks"))
     start = 0
-    while start < len(pdf):
-        end, n = start, 0
-        while end < len(pdf) and (end == start or n + size[end] <= most):
-            n += size[end]
-            end += 1
-        part = pdf.iloc[start:end]
-        lens = [np.asarray(x, np.int64) for x in part["lens"]]
-        owner = np.repeat(np.arange(end - start), [len(x) for x in lens])
-        yield slice(start, end), Block(np.concatenate([np.asarray(x, np.int64) for x in part["feats"]]), np.concatenate(lens), owner, end - start, [np.asarray(x, np.int64) for x in part["marks"]])
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(f_at, f_at[start] + most, "right")) - 1)
+        part = lambda v, at: v[at[start] : at[end]]  # noqa: B023, E731
+        count = lambda at: np.diff(at[start : end + 1])  # noqa: B023, E731
+        yield slice(start, end), Block(part(feats, f_at), part(lens, l_at), np.repeat(np.arange(end - start), count(l_at)), end - start, part(marks, m_at), count(m_at))
         start = end
 
 
@@ -194,25 +207,23 @@ def first_posteriors(weights: np.ndarray, b: Block) -> np.ndarray:
 def _expected_counts(table: DataFrame, k: int, buckets: int, weigh) -> tuple[np.ndarray, np.ndarray]:
     """Features by classes, and classes: sums of weigh(block) (sentences by classes) over all documents; at most a row a bucket reaches the driver."""
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, mass = np.zeros((buckets, k)), np.zeros(k)
-        for pdf in batches:
-            for _, b in blocks(pdf):
+        for batch in batches:
+            for _, b in blocks(batch):
                 p = weigh(b)
                 mass += p.sum(0)
                 each = np.repeat(np.arange(len(b.lens)), b.lens)
                 for c in range(k):
                     total[:, c] += np.bincount(b.flat, weights=p[each, c], minlength=buckets)
         hit = np.flatnonzero(total.any(1))
-        out = pd.DataFrame(total[hit], columns=[f"c{c}" for c in range(k)])
-        out.insert(0, "f", hit)
-        yield out
-        yield pd.DataFrame([[-1, *mass]], columns=out.columns)
+        cols = [np.r_[total[hit, c], mass[c]] for c in range(k)]  # the last row is the classes' own
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[hit, -1].astype(np.int32)), *(pa.array(x) for x in cols)], names=["f", *(f"c{c}" for c in range(k))])
 
     schema = "f int, " + ", ".join(f"c{c} double" for c in range(k))
     # no more tasks than run at once: each gives a table of the buckets
     table = table.coalesce(max(1, table.sparkSession.sparkContext.defaultParallelism))
-    rows = table.mapInPandas(add, schema).groupBy("f").agg(*(F.sum(f"c{c}").alias(f"c{c}") for c in range(k))).toPandas()
+    rows = table.select("marks", "feats", "lens").mapInArrow(add, schema).groupBy("f").agg(*(F.sum(f"c{c}").alias(f"c{c}") for c in range(k))).toPandas()
     counts, mass = np.zeros((buckets, k)), np.zeros(k)
     at = rows["f"].to_numpy()
     values = rows.drop(columns="f").to_numpy(np.float64)
@@ -276,17 +287,16 @@ def subject_counts(table: DataFrame, model: Model) -> DataFrame:
     held = table.sparkSession.sparkContext.broadcast((model.weights, model.prior))
     rules, k = model.rules, len(model.subjects)
 
-    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, prior = held.value
-        for pdf in batches:
-            for at, b in blocks(pdf):
+        for batch in batches:
+            for at, b in blocks(batch):
                 best = sentence_posteriors(weights, prior, b, False, rules).argmax(1)
-                n = np.zeros((b.docs, k + 1), np.int64)
-                np.add.at(n, (b.owner, best), 1)
-                part = pdf.iloc[at]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "marks": part["marks"].tolist(), "counts": list(n[:, :k])})
+                n = np.bincount(b.owner * (k + 1) + best, minlength=b.docs * (k + 1)).reshape(b.docs, k + 1)
+                part = batch.slice(at.start, at.stop - at.start)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("marks"), _lists(n[:, :k].ravel(), np.arange(b.docs + 1) * k, np.int64)], names=["doc_id", "marks", "counts"])
 
-    return table.mapInPandas(tell, "doc_id bigint, marks array<int>, counts array<bigint>")
+    return table.mapInArrow(tell, "doc_id bigint, marks array<int>, counts array<bigint>")
 
 
 def subject_shares(counts: DataFrame, subjects: list[str]) -> DataFrame:

@@ -249,7 +249,7 @@ def test_rising_curve():
 def test_pairs_hash_like_their_text():
     import zlib
 
-    assert subjects.features(["ab", "7", "cd"], 1 << 20) == sorted({zlib.crc32(x.encode()) % (1 << 20) for x in ("ab", "#", "cd", "ab #", "# cd")})
+    assert set(subjects.features(["ab", "7", "cd"], 1 << 20)) == ({zlib.crc32(x.encode()) % (1 << 20) for x in ("ab", "#", "cd", "ab #", "# cd")})
 
 
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="needs the test tables")
