@@ -61,12 +61,11 @@ def is_absent(c: Column | str) -> Column:
 def value_kind(c: Column | str) -> Column:
     """integer, decimal, timestamp or text; null for absent values."""
     v = F.trim(col(c))
-    return (
-        F.when(is_absent(c), None)
-        .when(v.rlike(r"^[+-]?[0-9]+$"), "integer")
+    return (  # no marker of absence is a number or a time, so the commonest kinds come first
+        F.when(v.rlike(r"^[+-]?[0-9]+$"), "integer")
         .when(v.rlike(r"^[+-]?([0-9]+\.[0-9]*|\.[0-9]+)$"), "decimal")
         .when(v.rlike(r"^[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9:]{4,6})?$"), "timestamp")
-        .otherwise("text")
+        .when(~is_absent(c), "text")
     )
 
 

@@ -152,7 +152,9 @@ def _cast(v: Column, kind: str, cents: Column | None = None) -> Column:
 
 def field_kinds(parsed: DataFrame, rules: DriftRules = DriftRules()) -> DataFrame:
     """file_id, field, kind (null: no values), values. Pre-aggregated on the map side: a file's lines never gather in one task."""
-    cells = parsed.where("names is not null").select("file_id", F.explode(F.when(F.col("head"), F.transform("names", lambda n: F.struct(n.alias("field"), F.lit(None).cast("string").alias("value")))).otherwise(F.zip_with("names", "vals", lambda n, v: F.struct(n.alias("field"), v.alias("value"))))).alias("e"))
+    # a header's names have no values: the zip pads with nulls
+    zipped = F.arrays_zip(F.col("names").alias("field"), F.coalesce("vals", F.array().cast("array<string>")).alias("value"))
+    cells = parsed.where("names is not null").select("file_id", F.explode(zipped).alias("e"))
     cells = cells.select("file_id", "e.field", value_kind("e.value").alias("kind"))
     kinds = ("integer", "decimal", "timestamp", "text")
     n = cells.groupBy("file_id", "field").agg(*(F.count_if(F.col("kind") == k).alias(k) for k in kinds))
@@ -164,38 +166,42 @@ def field_kinds(parsed: DataFrame, rules: DriftRules = DriftRules()) -> DataFram
     return n.select("file_id", "field", F.when(total > 0, sure).alias("kind"), total.alias("values"))
 
 
-def conform(parsed: DataFrame, rules: DriftRules = DriftRules(), kinds: DataFrame | None = None) -> DataFrame:
-    """One consistent table: file_id, line_no, the target's columns, and ``_rescued``.
-
-    ``_rescued`` is JSON with the fields outside the target and the values
-    that the target's type can't hold, under the names they came with; null
-    if there are none. kinds (as of field_kinds) tells which money fields of a
-    file are in cents. No shuffle of the lines beyond the join to the files.
-    """
-    kinds = field_kinds(parsed, rules) if kinds is None else kinds
+def _conformed(parsed: DataFrame, rules: DriftRules, kinds: DataFrame, fields: list[str], also: list[str]) -> DataFrame:
+    """The data lines with ``_t_`` columns of the given target fields, and ``_rescued``, a map of the names outside the target and of those fields' uncastable values; also: further columns of parsed."""
     coins = kinds.where("kind = 'integer'").groupBy("file_id").agg(F.collect_set("field").alias("_coins"))
     own = F.transform("names", rules.logical)  # the field of each name
     d = parsed.where("not head").withColumn("_own", own).join(coins, "file_id", "left")
-    real = lambda v: F.when(~is_absent(v), v)
-    d = d.withColumn("vals", F.transform("vals", real))
+    d = d.withColumn("vals", F.transform("vals", lambda v: F.when(~is_absent(v), v)))
     typed, left = {}, {}
-    for name, kind in rules.target.items():
+    for name in fields:
         at = F.nullif(F.array_position("_own", F.lit(name)), F.lit(0)).cast("int")
-        typed[name] = _cast(F.try_element_at("vals", at), kind, F.coalesce(F.array_contains("_coins", F.try_element_at("names", at)), F.lit(False)))
+        typed[name] = _cast(F.try_element_at("vals", at), rules.target[name], F.coalesce(F.array_contains("_coins", F.try_element_at("names", at)), F.lit(False)))
         left[name] = (at, F.try_element_at("vals", at))
     d = d.withColumns({f"_t_{k}": v for k, v in typed.items()})
     unheld = F.array_compact(F.array(*(F.when(v.isNotNull() & F.col(f"_t_{k}").isNull(), at) for k, (at, v) in left.items())))
     outside = F.filter(F.transform("_own", lambda o, i: F.when(~o.isin(*rules.target), i + 1)), lambda i: i.isNotNull())
-    at = F.filter(F.concat(unheld, outside), lambda i: F.try_element_at(F.col("vals"), i).isNotNull())
-    d = d.withColumn("_at", at)
+    d = d.withColumn("_at", F.filter(F.concat(unheld, outside), lambda i: F.try_element_at(F.col("vals"), i).isNotNull()))
     keys = F.array_distinct(F.transform("_at", lambda i: F.element_at("names", i)))
     rescued = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at("vals", F.array_position("names", k).cast("int"))))
+    return d.select("file_id", *also, "vals", *(F.col(f"_t_{k}") for k in fields), rescued.alias("_rescued"))
+
+
+def conform(parsed: DataFrame, rules: DriftRules = DriftRules(), kinds: DataFrame | None = None) -> DataFrame:
+    """One consistent table: file_id, line_no, the target's columns, and ``_rescued``.
+
+    ``_rescued`` is JSON with the fields outside the target and the values
+    that the target's type can't hold, under the names they came with; null
+    if there are none. kinds (as of field_kinds) tells which money fields of a
+    file are in cents. No shuffle of the lines beyond the join to the files.
+    """
+    kinds = field_kinds(parsed, rules) if kinds is None else kinds
+    d = _conformed(parsed, rules, kinds, list(rules.target), ["line_no", "line"])
     return d.select(
         "file_id",
         "line_no",
         *(F.col(f"_t_{k}").cast(_SPARK_TYPE.get(t, t)).alias(k) for k, t in rules.target.items()),
         F.when(F.col("vals").isNull(), F.to_json(F.create_map(F.lit("_line"), F.coalesce("line", F.lit("")))))
-        .when(F.size("_at") > 0, F.to_json(rescued))
+        .when(F.size("_rescued") > 0, F.to_json("_rescued"))
         .alias("_rescued"),
     )
 
@@ -314,15 +320,16 @@ def _moved(parsed: DataFrame, kinds: DataFrame, offer: DataFrame, rules: DriftRu
     own = lambda c: rules.logical(F.col(c))
     sides = offer.select("file_id", F.col("new").alias("name")).unionByName(offer.select(F.col("before").alias("file_id"), F.col("old").alias("name"))).distinct()
     wanted = sides.groupBy("file_id").agg(F.collect_set("name").alias("_wanted"))  # at most a file's names
-    lines = conform(parsed.join(wanted.select("file_id"), "file_id", "left_semi"), rules, kinds).where(F.col(rules.key).isNotNull())
-    typed = F.array(*(F.struct(F.lit(k).alias("field"), F.date_format(k, "yyyy-MM-dd HH:mm:ss").alias("value") if t == "timestamp_ntz" else F.col(k).cast("string").alias("value")) for k, t in rules.target.items()))
-    rescued = F.coalesce(F.from_json("_rescued", "map<string,string>"), F.create_map().cast("map<string,string>"))
-    lines = lines.join(wanted, "file_id").select("file_id", F.col(rules.key).alias("ref"), "_wanted", typed.alias("_typed"), rescued.alias("_m"))
-    named = lines.select("file_id", "ref", F.explode("_wanted").alias("name"), "_typed", "_m")
+    fields = sorted({r[0] for r in offer.select("logical").distinct().collect()} & set(rules.target))  # at most the target's
+    fields = [rules.key, *(f for f in fields if f != rules.key)]
+    lines = _conformed(parsed.join(wanted, "file_id"), rules, kinds, fields, ["_wanted"]).where(F.col(f"_t_{rules.key}").isNotNull())
+    as_text = lambda k: F.date_format(f"_t_{k}", "yyyy-MM-dd HH:mm:ss") if rules.target[k] == "timestamp_ntz" else F.col(f"_t_{k}").cast("string")
+    typed = F.array(*(F.struct(F.lit(k).alias("field"), as_text(k).alias("value")) for k in fields))
+    named = lines.select("file_id", F.col(f"_t_{rules.key}").alias("ref"), typed.alias("_typed"), "_rescued", F.explode("_wanted").alias("name"))
     held = F.try_element_at(F.transform(F.filter("_typed", lambda e: e["field"] == own("name")), lambda e: e["value"]), F.lit(1))
-    cell = named.select("file_id", "ref", "name", F.coalesce(held, F.try_element_at("_m", F.col("name"))).alias("value")).where("value is not null")
+    cell = named.select("file_id", "ref", "name", F.coalesce(held, F.try_element_at("_rescued", F.col("name"))).alias("value")).where("value is not null")
     coins = kinds.where("kind = 'integer'").select("file_id", F.col("field").alias("name"), F.lit(True).alias("cents"))
-    cell = cell.join(coins, ["file_id", "name"], "left").withColumn("cents", F.coalesce("cents", F.lit(False)))
+    cell = materialise(cell.join(coins, ["file_id", "name"], "left").withColumn("cents", F.coalesce("cents", F.lit(False))))  # read from both sides
     after = cell.withColumnsRenamed({"name": "new", "value": "v_new", "cents": "c_new"})
     ahead = cell.withColumnsRenamed({"file_id": "before", "name": "old", "value": "v_old", "cents": "c_old"})
     both = offer.join(after, ["file_id", "new"]).join(ahead, ["before", "old", "ref"]).withColumns({"a": _canonical(F.col("v_old")), "b": _canonical(F.col("v_new"))})
