@@ -23,6 +23,11 @@ def p1_promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.promote(p1_trips(spark, sf_dir), {"tip_amount": "money", "tolls_amount": "money", "wait_minutes": "int", "battery_pct": "double"})
 
 
+def p1_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """file_id, field, kind, values: what the report of changes goes by."""
+    return drift.field_kinds(drift.parse_lines(table(spark, sf_dir, "raw_trips"), table(spark, sf_dir, "trip_files")))
+
+
 PROFILE_RULES = {
     "passenger_count": {"nulls": 0.10, "range": 0.05, "mean": 0.40},
     "total_amount": {"nulls": 0.10, "range": 0.05, "distinct": 0.40, "median": 0.40},
@@ -129,8 +134,29 @@ select base.*, far.top_share, far.ks from base left join far on base.field = far
 """
 
 
+_SEPARATORS = (",", ";", "|", "\t")
+_SPLIT_SQL = "case separator " + " ".join(f"when '{s}' then regexp_extract_all('{s}' || line, '[{s}](\"(?:[^\"]|\"\")*\"|[^{s}]*)', 1)" for s in _SEPARATORS) + " end"
+_KINDS_SQL = f"""
+with r as (select raw_trips.*, file_format, separator from raw_trips join trip_files using (file_id)),
+     heads as (select file_id, list_transform(string_split(line, separator), lambda x: replace(lower(trim(x)), ' ', '_')) as names from r where file_format = 'csv' and line_no = 1),
+     split as (select file_id, names, {_SPLIT_SQL} as vals from r join heads using (file_id) where line_no > 1 and trim(line) <> ''),
+     cells as (
+       select file_id, unnest(names) as field, unnest(vals) as v from split where len(names) = len(vals)
+       union all select file_id, unnest(names), null from heads
+       union all select file_id, replace(lower(trim(k)), ' ', '_'), json_extract_string(line, '$."' || k || '"') from (select file_id, line, unnest(json_keys(case when json_valid(line) then line end)) as k from r where file_format = 'jsonl' and trim(line) like '{{%}}')),
+     plain as (select file_id, field, trim(case when len(v) > 1 and v like '"%"' then replace(substr(v, 2, len(v) - 2), '""', '"') else v end) as v from cells),
+     kinds as (select file_id, field, case when v is null or lower(v) in ('', '-', '\\n', 'n/a', 'na', 'nan', 'none', 'null') then null when regexp_full_match(v, '[+-]?[0-9]+') then 'integer'
+       when regexp_full_match(v, '[+-]?([0-9]+\\.[0-9]*|\\.[0-9]+)') then 'decimal'
+       when regexp_full_match(v, '[0-9]{{4}}[-/][0-9]{{2}}[-/][0-9]{{2}}[T ][0-9]{{2}}:[0-9]{{2}}(:[0-9]{{2}}(\\.[0-9]+)?)?(Z|[+-][0-9:]{{4,6}})?') then 'timestamp' else 'text' end as kind from plain),
+     n as (select file_id, field, kind, count(kind) as n from kinds group by all),
+     t as (select file_id, field, sum(n)::bigint as "values" from n group by all)
+select file_id, field, (select kind from n where n.file_id = t.file_id and n.field = t.field and kind is not null and n.n >= 0.9 * t."values" order by n.n desc limit 1) as kind, "values" from t
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p1_kinds": _KINDS_SQL,
         "p2_profile": _PROFILE_SQL,
         "p5_found": f"with r as ({_ZONE_ROWS_SQL}) select field, zone_id from r where zone_id in (select zone_id from zones) group by all having count(*) > 0.02 * (select count(*) from trips)",
         "p5_zone_results": f"with r as ({_ZONE_ROWS_SQL}) select field, zone_id, count(*) as n, round(sum(fare), 2) as fares, any_value(district) as district from r join zones using (zone_id) group by all",

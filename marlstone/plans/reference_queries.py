@@ -493,6 +493,11 @@ def q_in_sample_confusion(spark, d):
     return evaluate.confusion(models.logistic_ovr(df)(df), LABELS)
 
 
+def q_in_sample_logistic_report(spark, d):
+    df = _labelled(spark, d)
+    return evaluate.report(models.logistic_ovr(df)(df), LABELS)
+
+
 def q_learning_curve(spark, d):
     f = split.stratified_folds(_labelled(spark, d), "id", "label", 3)
     return evaluate.curve_band(evaluate.learning_curve(f, models.logistic_ovr, 3))
