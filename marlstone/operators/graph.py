@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from marlstone.session import materialise, release
 
@@ -64,7 +64,7 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
     """
     e = materialise(_stars(edges.select("id", "other").where("id <> other")).where("id <> other").distinct())
     e = e.unionByName(e.select(F.col("other").alias("id"), F.col("id").alias("other")))
-    step = materialise(nodes.select("id", F.col("id").alias("component")).distinct())
+    step = materialise(nodes.select("id", F.col("id").alias("component")).distinct())  # a row a node
     for _ in range(max_rounds):
         label = step.select("id", "component")
         near = e.join(label.withColumnRenamed("id", "other"), "other").groupBy("id").agg(F.min("component").alias("near"))
@@ -73,11 +73,9 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
         new = materialise(own.join(handed, "id", "left").select("id", "component", F.least("new", F.coalesce("hook", "new")).alias("new")))
         jump = new.select(F.col("id").alias("new"), F.col("new").alias("root"))
         to = F.least("new", F.coalesce("root", "new"))
-        seen = Observation()
-        moved = new.join(jump, "new", "left").select("id", to.alias("component"), (to < F.col("component")).alias("moved")).observe(seen, F.count_if("moved").alias("n"))
-        last, step = step, materialise(moved.select("id", "component"))
+        last, step = step, materialise(new.join(jump, "new", "left").select("id", to.alias("component"), (to < F.col("component")).alias("moved")))
         for x in (last, own, new):
             release(x)
-        if not seen.get["n"]:
-            return step
+        if step.where("moved").isEmpty():
+            return step.select("id", "component")
     raise RuntimeError(f"no fixed point after {max_rounds} rounds")
