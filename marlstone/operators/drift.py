@@ -315,7 +315,8 @@ def _moved(parsed: DataFrame, kinds: DataFrame, offer: DataFrame, rules: DriftRu
     ``_rescued``. Values agree if they are the same but for style, if the
     rescued one replayed into the field's type is the typed one, or if the files
     that retype the field under listed names turn one into the other (1 and
-    standard).
+    standard). A name also stands for a field if the shared trips of all feeds
+    together say so and the file's own don't speak against it.
     """
     own = lambda c: rules.logical(F.col(c))
     sides = offer.select("file_id", F.col("new").alias("name")).unionByName(offer.select(F.col("before").alias("file_id"), F.col("old").alias("name"))).distinct()
@@ -334,8 +335,8 @@ def _moved(parsed: DataFrame, kinds: DataFrame, offer: DataFrame, rules: DriftRu
     ahead = cell.withColumnsRenamed({"file_id": "before", "name": "old", "value": "v_old", "cents": "c_old"})
     both = offer.join(after, ["file_id", "new"]).join(ahead, ["before", "old", "ref"]).withColumns({"a": _canonical(F.col("v_old")), "b": _canonical(F.col("v_new"))})
     both = materialise(both)  # a row a shared trip and offered pair
-    met = both.where("teaches and a <> b")
-    codes = met.select("logical", "a", "b").unionByName(met.select("logical", F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("logical", "a", "b").agg(F.count(F.lit(1)).alias("times"))
+    turned = both.where("teaches and a <> b")
+    codes = turned.select("logical", "a", "b").unionByName(turned.select("logical", F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("logical", "a", "b").agg(F.count(F.lit(1)).alias("times"))
     codes = codes.withColumn("share", F.col("times") / F.sum("times").over(W.partitionBy("logical", "a"))).where(F.col("share") >= rules.min_agree).select("logical", "a", "b", F.lit(True).alias("coded"))
     kind = F.create_map(*(F.lit(x) for kv in rules.target.items() for x in kv))[F.col("logical")]
     # the unknown side is replayed; the known one is in the field's type already
@@ -344,6 +345,17 @@ def _moved(parsed: DataFrame, kinds: DataFrame, offer: DataFrame, rules: DriftRu
     for t in ("money", "zone", "timestamp_ntz"):
         same_typed = F.when(kind == t, replay("old", "v_old", "c_old", t) == replay("new", "v_new", "c_new", t)).otherwise(same_typed)
     same = (F.col("a") == F.col("b")) | F.coalesce(same_typed, F.lit(False)) | F.coalesce("coded", F.lit(False))
-    score = both.where("not teaches").join(codes, ["logical", "a", "b"], "left").groupBy("feed", "file_id", "old", "new")
-    score = score.agg(F.count(F.lit(1)).alias("n"), F.avg(same.cast("double")).alias("agree"), F.count_distinct("b").alias("d"))
-    return score.where((F.col("n") >= rules.min_shared) & (F.col("agree") >= rules.min_agree) & (F.col("d") > 1)).drop("d")
+    met = both.where("not teaches").join(codes, ["logical", "a", "b"], "left").withColumn("same", same.cast("double"))
+    count = [F.count(F.lit(1)).alias("n"), F.avg("same").alias("agree"), F.count_distinct("b").alias("d")]
+    sure = (F.col("n") >= rules.min_shared) & (F.col("agree") >= rules.min_agree) & (F.col("d") > 1)
+    here = met.groupBy("file_id", "old", "new").agg(*count).withColumn("sure", sure).drop("d")
+    # what all feeds' files say of a name that is in no list: few shared trips in each may be enough together
+    listed = lambda c: F.col(c).isin(*_listed(rules))
+    learnt = met.where("logical is not null").groupBy(F.when(listed("old"), F.col("new")).otherwise(F.col("old")).alias("name"), "logical").agg(*count).where(sure)
+    learnt = learnt.groupBy("name").agg(F.max_by("logical", F.struct("agree", "n", "logical")).alias("field"))
+    out = offer.where("not teaches").select("feed", "file_id", "old", "new").distinct().join(here, ["file_id", "old", "new"], "left")
+    for c in ("old", "new"):
+        out = out.join(learnt.select(F.col("name").alias(c), F.col("field").alias(f"l_{c}")), c, "left").withColumn(f"l_{c}", F.when(listed(c), own(c)).otherwise(F.col(f"l_{c}")))
+    told = (F.col("l_old") == F.col("l_new")) & (F.coalesce("agree", F.lit(1.0)) >= 0.5)
+    out = out.where(F.coalesce("sure", F.lit(False)) | F.coalesce(told, F.lit(False)))
+    return out.select("feed", "file_id", "old", "new", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), F.coalesce("agree", F.lit(0.5)).alias("agree"))

@@ -143,6 +143,14 @@ def test_drift_finds_renames_by_rescued_values_alone(spark):
     assert got == {(2, "app_fee", "renamed"), (2, "app_fee", "retyped")}
 
 
+def test_drift_learns_a_name_from_the_other_feeds(spark):
+    rows = [(i, "pqrs"[i % 4]) for i in range(10)]
+    csv = lambda name, at: [f"trip_ref,{name},extra", *(f"{at + i},{v},0.50" for i, v in rows)]
+    lines = {1: csv("vendor", 0), 2: csv("zug", 0), 3: csv("vendor", 50), 4: csv("zug", 90), 5: csv("zog", 120)}
+    meta = [(1, "a", "csv", ",", 0), (2, "a", "csv", ",", 1), (3, "b", "csv", ",", 0), (4, "b", "csv", ",", 1), (5, "b", "csv", ",", 2)]
+    assert changes(spark, lines, meta) == {(2, "zug", "renamed"), (4, "zug", "renamed"), (5, "zug", "removed"), (5, "zog", "added")}
+
+
 def test_drift_odd_lines(spark):
     lines = {1: ["a,a,trip_ref", "1,2,3", "4", '"x,y",5,6', "7,8,9"], 2: [], 5: ["b,c"], 9: ["no,file"]}
     f = files(spark, (1, "a", "csv", ",", 0), (2, "a", "csv", ",", 1), (5, "a", "csv", ",", 2))
