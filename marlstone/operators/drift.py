@@ -23,6 +23,7 @@ Defined results in odd cases
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -166,21 +167,25 @@ def field_kinds(parsed: DataFrame, rules: DriftRules = DriftRules()) -> DataFram
     return n.select("file_id", "field", F.when(total > 0, sure).alias("kind"), total.alias("values"))
 
 
-def _conformed(parsed: DataFrame, rules: DriftRules, kinds: DataFrame, fields: list[str], also: list[str]) -> DataFrame:
-    """The data lines with ``_t_`` columns of the given target fields, and ``_rescued``, a map of the names outside the target and of those fields' uncastable values; also: further columns of parsed."""
+def _conformed(parsed: DataFrame, rules: DriftRules, kinds: DataFrame, fields: list[str], also: list[str], keep: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The data lines with ``_t_`` columns of the given target fields, and ``_rescued``, a map of the names outside the target and of those fields' uncastable values.
+
+    also: further columns of parsed; keep: which names outside the target are wanted.
+    """
     coins = kinds.where("kind = 'integer'").groupBy("file_id").agg(F.collect_set("field").alias("_coins"))
-    own = F.transform("names", rules.logical)  # the field of each name
-    d = parsed.where("not head").withColumn("_own", own).join(coins, "file_id", "left")
-    d = d.withColumn("vals", F.transform("vals", lambda v: F.when(~is_absent(v), v)))
-    typed, left = {}, {}
-    for name in fields:
-        at = F.nullif(F.array_position("_own", F.lit(name)), F.lit(0)).cast("int")
-        typed[name] = _cast(F.try_element_at("vals", at), rules.target[name], F.coalesce(F.array_contains("_coins", F.try_element_at("names", at)), F.lit(False)))
-        left[name] = (at, F.try_element_at("vals", at))
-    d = d.withColumns({f"_t_{k}": v for k, v in typed.items()})
-    unheld = F.array_compact(F.array(*(F.when(v.isNotNull() & F.col(f"_t_{k}").isNull(), at) for k, (at, v) in left.items())))
-    outside = F.filter(F.transform("_own", lambda o, i: F.when(~o.isin(*rules.target), i + 1)), lambda i: i.isNotNull())
-    d = d.withColumn("_at", F.filter(F.concat(unheld, outside), lambda i: F.try_element_at(F.col("vals"), i).isNotNull()))
+    d = parsed.where("not head").join(coins, "file_id", "left")
+    real = lambda i: F.when(~is_absent(F.try_element_at("vals", i)), F.try_element_at("vals", i))
+    # the first of the names that stand for a field
+    at = {f: [F.nullif(F.array_position("names", F.lit(n)), F.lit(0)).cast("int") for n in (f, *rules.aliases.get(f, ()))] for f in fields}
+    d = d.withColumns({f"_i_{f}": F.least(*x) if len(x) > 1 else x[0] for f, x in at.items()})
+    d = d.withColumns({f"_v_{f}": real(F.col(f"_i_{f}")) for f in fields})
+    cents = lambda f: F.coalesce(F.array_contains("_coins", F.try_element_at("names", F.col(f"_i_{f}"))), F.lit(False))
+    d = d.withColumns({f"_t_{f}": _cast(F.col(f"_v_{f}"), rules.target[f], cents(f)) for f in fields})
+    unheld = F.array_compact(F.array(*(F.when(F.col(f"_v_{f}").isNotNull() & F.col(f"_t_{f}").isNull(), F.col(f"_i_{f}")) for f in fields)))
+    known = [n for f in rules.target for n in (f, *rules.aliases.get(f, ()))]
+    spare = F.transform("names", lambda n, i: F.when(~n.isin(*known) if keep is None else ~n.isin(*known) & keep(n), i + 1))
+    spare = F.filter(spare, lambda i: i.isNotNull())
+    d = d.withColumn("_at", F.filter(F.concat(unheld, spare), lambda i: ~is_absent(F.try_element_at(F.col("vals"), i))))
     keys = F.array_distinct(F.transform("_at", lambda i: F.element_at("names", i)))
     rescued = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at("vals", F.array_position("names", k).cast("int"))))
     return d.select("file_id", *also, "vals", *(F.col(f"_t_{k}") for k in fields), rescued.alias("_rescued"))
@@ -323,7 +328,7 @@ def _moved(parsed: DataFrame, kinds: DataFrame, offer: DataFrame, rules: DriftRu
     wanted = sides.groupBy("file_id").agg(F.collect_set("name").alias("_wanted"))  # at most a file's names
     fields = sorted({r[0] for r in offer.select("logical").distinct().collect()} & set(rules.target))  # at most the target's
     fields = [rules.key, *(f for f in fields if f != rules.key)]
-    lines = _conformed(parsed.join(wanted, "file_id"), rules, kinds, fields, ["_wanted"]).where(F.col(f"_t_{rules.key}").isNotNull())
+    lines = _conformed(parsed.join(wanted, "file_id"), rules, kinds, fields, ["_wanted"], lambda n: F.array_contains("_wanted", n)).where(F.col(f"_t_{rules.key}").isNotNull())
     as_text = lambda k: F.date_format(f"_t_{k}", "yyyy-MM-dd HH:mm:ss") if rules.target[k] == "timestamp_ntz" else F.col(f"_t_{k}").cast("string")
     typed = F.array(*(F.struct(F.lit(k).alias("field"), as_text(k).alias("value")) for k in fields))
     named = lines.select("file_id", F.col(f"_t_{rules.key}").alias("ref"), typed.alias("_typed"), "_rescued", F.explode("_wanted").alias("name"))
