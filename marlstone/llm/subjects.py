@@ -208,16 +208,16 @@ def _expected_counts(table: DataFrame, k: int, buckets: int, weigh) -> tuple[np.
     """Features by classes, and classes: sums of weigh(block) (sentences by classes) over all documents; at most a row a bucket reaches the driver."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, mass = np.zeros((buckets, k)), np.zeros(k)
+        total, mass = np.zeros((k, buckets)), np.zeros(k)
         for batch in batches:
             for _, b in blocks(batch):
-                p = weigh(b)
-                mass += p.sum(0)
-                each = np.repeat(np.arange(len(b.lens)), b.lens)
+                p = np.ascontiguousarray(weigh(b).T)
+                mass += p.sum(1)
                 for c in range(k):
-                    total[:, c] += np.bincount(b.flat, weights=p[each, c], minlength=buckets)
-        hit = np.flatnonzero(total.any(1))
-        cols = [np.r_[total[hit, c], mass[c]] for c in range(k)]  # the last row is the classes' own
+                    if p[c].any():
+                        total[c] += np.bincount(b.flat, weights=np.repeat(p[c], b.lens), minlength=buckets)
+        hit = np.flatnonzero(total.any(0))
+        cols = [np.r_[total[c, hit], mass[c]] for c in range(k)]  # the last row is the classes' own
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[hit, -1].astype(np.int32)), *(pa.array(x) for x in cols)], names=["f", *(f"c{c}" for c in range(k))])
 
     schema = "f int, " + ", ".join(f"c{c} double" for c in range(k))
