@@ -61,9 +61,9 @@ def price_category(c: Column) -> Column:
     return F.when(c > 0, F.when(F.isnan(c), None).otherwise(out))
 
 
-def text_codes(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns as strings; a missing value becomes the text nan."""
-    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in columns})
+def text_code(column: str) -> Column:
+    """A column as string; a missing value becomes the text nan."""
+    return F.coalesce(F.col(column).cast("string"), F.lit("nan"))
 
 
 def clean_trips(trips: DataFrame) -> DataFrame:

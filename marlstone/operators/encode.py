@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from marlstone.operators.clean import text_code
 from marlstone.operators.rank import ranks
 from marlstone.session import materialise
 
 
-def _text(c: str) -> Column:
-    return F.coalesce(F.col(c).cast("string"), F.lit("nan"))
-
-
 def label_dictionaries(df: DataFrame, columns: list[str]) -> DataFrame:
     """column, value, code: the distinct texts of each column in binary order from 0; a missing value is the text nan. One pass over df."""
-    cells = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), _text(c).alias("value")) for c in columns))).alias("e")).select("e.*").distinct()
+    cells = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), text_code(c).alias("value")) for c in columns))).alias("e")).select("e.*").distinct()
     return ranks(cells, ["column"], ["value"], "code")
 
 
@@ -28,7 +25,7 @@ def label_encode(df: DataFrame, columns: list[str], dictionaries: DataFrame | No
     known = materialise(label_dictionaries(df, columns) if dictionaries is None else dictionaries)
     for c in columns:
         d = known.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}"))
-        df = df.join(d, _text(c) == F.col(f"_v_{c}"))
+        df = df.join(d, text_code(c) == F.col(f"_v_{c}"))
     return df.withColumns({c: F.col(f"_c_{c}") for c in columns}).drop(*(f"_{k}_{c}" for k in "vc" for c in columns))
 
 
