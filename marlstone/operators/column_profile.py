@@ -173,6 +173,7 @@ def off_loads(prof: DataFrame, shares: DataFrame, rules: dict[str, dict[str, flo
     whose share moves by s moves the curve by s / 2 at least, a mean that moves
     by m inside a range of width r moves it by m / r.
     """
+    prof, shares = materialise(prof), materialise(shares)  # a row a load and field, and a row a load and number: both are asked several times
     there = F.col("n_rows") - F.col("n_null")
     p = prof.select(
         "field", "grp", "load", "ks",
