@@ -23,7 +23,6 @@ Defined results in odd cases
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -167,30 +166,6 @@ def field_kinds(parsed: DataFrame, rules: DriftRules = DriftRules()) -> DataFram
     return n.select("file_id", "field", F.when(total > 0, sure).alias("kind"), total.alias("values"))
 
 
-def _conformed(parsed: DataFrame, rules: DriftRules, kinds: DataFrame, fields: list[str], also: list[str], keep: Callable[[Column], Column] | None = None) -> DataFrame:
-    """The data lines with ``_t_`` columns of the given target fields, and ``_rescued``, a map of the names outside the target and of those fields' uncastable values.
-
-    also: further columns of parsed; keep: which names outside the target are wanted.
-    """
-    coins = kinds.where("kind = 'integer'").groupBy("file_id").agg(F.collect_set("field").alias("_coins"))
-    d = parsed.where("not head").join(coins, "file_id", "left")
-    real = lambda i: F.when(~is_absent(F.try_element_at("vals", i)), F.try_element_at("vals", i))
-    # the first of the names that stand for a field
-    at = {f: [F.nullif(F.array_position("names", F.lit(n)), F.lit(0)).cast("int") for n in (f, *rules.aliases.get(f, ()))] for f in fields}
-    d = d.withColumns({f"_i_{f}": F.least(*x) if len(x) > 1 else x[0] for f, x in at.items()})
-    d = d.withColumns({f"_v_{f}": real(F.col(f"_i_{f}")) for f in fields})
-    cents = lambda f: F.coalesce(F.array_contains("_coins", F.try_element_at("names", F.col(f"_i_{f}"))), F.lit(False))
-    d = d.withColumns({f"_t_{f}": _cast(F.col(f"_v_{f}"), rules.target[f], cents(f)) for f in fields})
-    unheld = F.array_compact(F.array(*(F.when(F.col(f"_v_{f}").isNotNull() & F.col(f"_t_{f}").isNull(), F.col(f"_i_{f}")) for f in fields)))
-    known = [n for f in rules.target for n in (f, *rules.aliases.get(f, ()))]
-    spare = F.transform("names", lambda n, i: F.when(~n.isin(*known) if keep is None else ~n.isin(*known) & keep(n), i + 1))
-    spare = F.filter(spare, lambda i: i.isNotNull())
-    d = d.withColumn("_at", F.filter(F.concat(unheld, spare), lambda i: ~is_absent(F.try_element_at(F.col("vals"), i))))
-    keys = F.array_distinct(F.transform("_at", lambda i: F.element_at("names", i)))
-    rescued = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at("vals", F.array_position("names", k).cast("int"))))
-    return d.select("file_id", *also, "vals", *(F.col(f"_t_{k}") for k in fields), rescued.alias("_rescued"))
-
-
 def conform(parsed: DataFrame, rules: DriftRules = DriftRules(), kinds: DataFrame | None = None) -> DataFrame:
     """One consistent table: file_id, line_no, the target's columns, and ``_rescued``.
 
@@ -200,13 +175,27 @@ def conform(parsed: DataFrame, rules: DriftRules = DriftRules(), kinds: DataFram
     file are in cents. No shuffle of the lines beyond the join to the files.
     """
     kinds = field_kinds(parsed, rules) if kinds is None else kinds
-    d = _conformed(parsed, rules, kinds, list(rules.target), ["line_no", "line"])
+    coins = kinds.where("kind = 'integer'").groupBy("file_id").agg(F.collect_set("field").alias("_coins"))
+    own = F.transform("names", rules.logical)  # the field of each name
+    d = parsed.where("not head").withColumn("_own", own).join(coins, "file_id", "left")
+    d = d.withColumn("vals", F.transform("vals", lambda v: F.when(~is_absent(v), v)))
+    typed, left = {}, {}
+    for name, kind in rules.target.items():
+        at = F.nullif(F.array_position("_own", F.lit(name)), F.lit(0)).cast("int")
+        typed[name] = _cast(F.try_element_at("vals", at), kind, F.coalesce(F.array_contains("_coins", F.try_element_at("names", at)), F.lit(False)))
+        left[name] = (at, F.try_element_at("vals", at))
+    d = d.withColumns({f"_t_{k}": v for k, v in typed.items()})
+    unheld = F.array_compact(F.array(*(F.when(v.isNotNull() & F.col(f"_t_{k}").isNull(), at) for k, (at, v) in left.items())))
+    outside = F.filter(F.transform("_own", lambda o, i: F.when(~o.isin(*rules.target), i + 1)), lambda i: i.isNotNull())
+    d = d.withColumn("_at", F.filter(F.concat(unheld, outside), lambda i: F.try_element_at(F.col("vals"), i).isNotNull()))
+    keys = F.array_distinct(F.transform("_at", lambda i: F.element_at("names", i)))
+    rescued = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at("vals", F.array_position("names", k).cast("int"))))
     return d.select(
         "file_id",
         "line_no",
         *(F.col(f"_t_{k}").cast(_SPARK_TYPE.get(t, t)).alias(k) for k, t in rules.target.items()),
         F.when(F.col("vals").isNull(), F.to_json(F.create_map(F.lit("_line"), F.coalesce("line", F.lit("")))))
-        .when(F.size("_rescued") > 0, F.to_json("_rescued"))
+        .when(F.size("_at") > 0, F.to_json(rescued))
         .alias("_rescued"),
     )
 
@@ -315,10 +304,10 @@ def _walk(rules: DriftRules):
 def _moved(parsed: DataFrame, kinds: DataFrame, offer: DataFrame, rules: DriftRules) -> DataFrame:
     """feed, file_id, old, new, n, agree: the offered names whose values agree over shared trips.
 
-    Only the offered names of the files that have an offer leave the conformed
-    table: a field of the target as its typed column, any other name out of
-    ``_rescued``. Values agree if they are the same but for style, if the
-    rescued one replayed into the field's type is the typed one, or if the files
+    Only the offered names of the files that have an offer are looked up, in the
+    parsed table itself: those outside the target are what ``conform`` rescues.
+    Values agree if they are the same but for style, if the rescued one,
+    replayed into the field's type, is the field's, or if the files
     that retype the field under listed names turn one into the other (1 and
     standard). A name also stands for a field if the shared trips of all feeds
     together say so and the file's own don't speak against it.
@@ -326,14 +315,10 @@ def _moved(parsed: DataFrame, kinds: DataFrame, offer: DataFrame, rules: DriftRu
     own = lambda c: rules.logical(F.col(c))
     sides = offer.select("file_id", F.col("new").alias("name")).unionByName(offer.select(F.col("before").alias("file_id"), F.col("old").alias("name"))).distinct()
     wanted = sides.groupBy("file_id").agg(F.collect_set("name").alias("_wanted"))  # at most a file's names
-    fields = sorted({r[0] for r in offer.select("logical").distinct().collect()} & set(rules.target))  # at most the target's
-    fields = [rules.key, *(f for f in fields if f != rules.key)]
-    lines = _conformed(parsed.join(wanted, "file_id"), rules, kinds, fields, ["_wanted"], lambda n: F.array_contains("_wanted", n)).where(F.col(f"_t_{rules.key}").isNotNull())
-    as_text = lambda k: F.date_format(f"_t_{k}", "yyyy-MM-dd HH:mm:ss") if rules.target[k] == "timestamp_ntz" else F.col(f"_t_{k}").cast("string")
-    typed = F.array(*(F.struct(F.lit(k).alias("field"), as_text(k).alias("value")) for k in fields))
-    named = lines.select("file_id", F.col(f"_t_{rules.key}").alias("ref"), typed.alias("_typed"), "_rescued", F.explode("_wanted").alias("name"))
-    held = F.try_element_at(F.transform(F.filter("_typed", lambda e: e["field"] == own("name")), lambda e: e["value"]), F.lit(1))
-    cell = named.select("file_id", "ref", "name", F.coalesce(held, F.try_element_at("_rescued", F.col("name"))).alias("value")).where("value is not null")
+    ref = F.try_element_at("vals", F.nullif(F.array_position("names", F.lit(rules.key)), F.lit(0)).cast("int"))
+    lines = parsed.where("not head and vals is not null").join(wanted, "file_id").select("file_id", _cast(ref, rules.target[rules.key]).alias("ref"), "_wanted", "names", "vals").where("ref is not null")
+    cell = lines.select("file_id", "ref", "names", "vals", F.explode("_wanted").alias("name"))
+    cell = cell.select("file_id", "ref", "name", F.try_element_at("vals", F.nullif(F.array_position("names", F.col("name")), F.lit(0)).cast("int")).alias("value")).where(~is_absent("value"))
     coins = kinds.where("kind = 'integer'").select("file_id", F.col("field").alias("name"), F.lit(True).alias("cents"))
     cell = materialise(cell.join(coins, ["file_id", "name"], "left").withColumn("cents", F.coalesce("cents", F.lit(False))))  # read from both sides
     after = cell.withColumnsRenamed({"name": "new", "value": "v_new", "cents": "c_new"})
@@ -344,11 +329,10 @@ def _moved(parsed: DataFrame, kinds: DataFrame, offer: DataFrame, rules: DriftRu
     codes = turned.select("logical", "a", "b").unionByName(turned.select("logical", F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("logical", "a", "b").agg(F.count(F.lit(1)).alias("times"))
     codes = codes.withColumn("share", F.col("times") / F.sum("times").over(W.partitionBy("logical", "a"))).where(F.col("share") >= rules.min_agree).select("logical", "a", "b", F.lit(True).alias("coded"))
     kind = F.create_map(*(F.lit(x) for kv in rules.target.items() for x in kv))[F.col("logical")]
-    # the unknown side is replayed; the known one is in the field's type already
-    replay = lambda name, v, c, t: F.when(own(name) == F.col("logical"), _cast(F.col(v), t)).otherwise(_cast(F.col(v), t, F.col(c)))
+    # the rescued value and the field's own, both in the field's type
     same_typed = F.lit(False)
     for t in ("money", "zone", "timestamp_ntz"):
-        same_typed = F.when(kind == t, replay("old", "v_old", "c_old", t) == replay("new", "v_new", "c_new", t)).otherwise(same_typed)
+        same_typed = F.when(kind == t, _cast(F.col("v_old"), t, F.col("c_old")) == _cast(F.col("v_new"), t, F.col("c_new"))).otherwise(same_typed)
     same = (F.col("a") == F.col("b")) | F.coalesce(same_typed, F.lit(False)) | F.coalesce("coded", F.lit(False))
     met = both.where("not teaches").join(codes, ["logical", "a", "b"], "left").withColumn("same", same.cast("double"))
     count = [F.count(F.lit(1)).alias("n"), F.avg("same").alias("agree"), F.count_distinct("b").alias("d")]
