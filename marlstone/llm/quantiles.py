@@ -34,9 +34,14 @@ from marlstone.session import materialise
 PROBS = (0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 
 
+GROUP_COST = 150  # values that take the room of an empty summary
+
+
 class Buffers:
     """Summary of one stream of values."""
 
+    __slots__ = ("k", "n", "err", "pending", "waiting", "levels", "turn")
+
     def __init__(self, k: int):
         self.k, self.n, self.err = k, 0, 0
         self.pending: list[np.ndarray] = []
@@ -118,6 +123,7 @@ class _Held:
         b = self.held.get(key)
         if b is None:
             b = self.held[key] = Buffers(self.k)
+            self.load += GROUP_COST
         self.load += n
         return b
 
