@@ -24,6 +24,7 @@ Defined results in odd cases
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -269,11 +270,14 @@ def _walk(rules: DriftRules):
     real = set(own.values())
 
     def walk(fields: pd.DataFrame, moved: pd.DataFrame) -> pd.DataFrame:
-        hints = {f: g.sort_values(["agree", "n", "old", "new"], ascending=[False, False, True, True])[["old", "new"]].values.tolist() for f, g in moved.groupby("file_id")}
+        hints: dict[int, list] = {}
+        for file_id, agree, n, old, new in sorted(zip(*(moved[c].tolist() for c in ("file_id", "agree", "n", "old", "new"))), key=lambda r: (-r[1], -r[2], r[3], r[4])):
+            hints.setdefault(file_id, []).append((old, new))
         out, role, had, prev = [], {}, {}, None
         of = lambda x: own.get(x) or role.get(x, x)
-        for (_, file_id), g in fields.groupby(["seq", "file_id"], sort=True):
-            now = {f: None if pd.isna(k) else k for f, k in zip(g["field"], g["kind"]) if not pd.isna(f)}
+        rows = sorted(zip(*(fields[c].tolist() for c in ("seq", "file_id", "field", "kind"))), key=lambda r: r[0])
+        for (_, file_id), g in groupby(rows, key=lambda r: r[:2]):
+            now = {f: k if isinstance(k, str) else None for _, _, f, k in g if isinstance(f, str)}
             origin = {f: f for f in now if f in had}
             if prev is not None:
                 gone = {f: of(f) for f in sorted(had.keys() - now.keys())}
