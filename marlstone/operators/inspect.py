@@ -40,7 +40,9 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     clean = df.select(*(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols))
     cells = clean.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("x")) for c in cols))).alias("e")).select("e.*")
     x = F.col("x")
-    stats = cells.groupBy("column").agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    plain = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = clean.agg(*(f(F.col(c)).alias(f"{c}|{s}") for c in cols for s, f in plain.items()))
+    stats = _long(row, {c: [F.col(f"`{c}|{s}`") for s in plain] for c in cols}, list(plain))
     counts = cells.where("x is not null").groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
     curves = ranked_curves(counts.select(F.col("column").alias("field"), F.lit(None).cast("string").alias("grp"), F.lit(0).cast("bigint").alias("load"), x.alias("number"), "n"))
     size = curves.groupBy("field").agg(F.sum("n").alias("size"))

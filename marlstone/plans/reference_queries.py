@@ -54,6 +54,11 @@ def _labelled(spark: SparkSession, d: str) -> DataFrame:
     return materialise(c.select(F.col("record_id").alias("id"), F.array(*(F.col(x).cast("double") for x in (*FEATURES, *CODED))).alias("features"), F.col("price_category").alias("label")))
 
 
+def _priced(spark: SparkSession, d: str) -> DataFrame:
+    """id, label of the same trips, for splits that need no features."""
+    return _clean(spark, d).where("price_category is not null").select(F.col("record_id").alias("id"), F.col("price_category").alias("label"))
+
+
 def _heads(spark: SparkSession, d: str) -> tuple[DataFrame, list[list[float]]]:
     pts = _plane(spark, d)
     return pts, kmeans.init_first(pts, K)
@@ -134,15 +139,15 @@ def q_centred(spark, d):
 
 
 def q_stratified_split(spark, d):
-    return split.stratified_split(_labelled(spark, d), "id", "label").select("id", "label", "is_test")
+    return split.stratified_split(_priced(spark, d), "id", "label").select("id", "label", "is_test")
 
 
 def q_stratified_folds(spark, d):
-    return split.stratified_folds(_labelled(spark, d), "id", "label", 5).select("id", "label", "fold")
+    return split.stratified_folds(_priced(spark, d), "id", "label", 5).select("id", "label", "fold")
 
 
 def q_kfold(spark, d):
-    return split.folds(_labelled(spark, d), "id", 3).select("id", "fold")
+    return split.folds(_priced(spark, d), "id", 3).select("id", "fold")
 
 
 # ---------------------------------------------------------------- distances and clusters
