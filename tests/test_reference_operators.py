@@ -295,6 +295,19 @@ def test_classifiers_learn_separate_classes(spark, name):
     assert evaluate.accuracy(make(df.where("id % 3 <> 0"))(df.where("id % 3 = 0"))).first()[0] >= 0.95
 
 
+@pytest.mark.parametrize("cell", [40, 100_000])
+def test_knn_is_exact_over_cells_and_moves_no_block_pairs(spark, monkeypatch, cell):
+    rng = np.random.default_rng(5)
+    x, votes = np.round(rng.normal(size=(300, 3)) * 2), rng.choice(["a", "b", "c"], 300)  # whole numbers: many ties
+    df = spark.createDataFrame([(i, x[i].tolist(), str(votes[i])) for i in range(300)], "id bigint, features array<double>, label string")
+    monkeypatch.setattr(distance, "block_pairs", None)
+    monkeypatch.setattr(models, "block_pairs", None, raising=False)
+    got = {r["id"]: r["prediction"] for r in models.knn(df.where("id >= 100"), 5, cell)(df.where("id < 100")).collect()}
+    for i in range(100):
+        near = np.lexsort((np.arange(100, 300), distance.exactly(np.repeat(x[i : i + 1], 200, 0), x[100:])))[:5] + 100
+        assert got[i] == min((-(votes[near] == v).sum(), v) for v in set(votes[near]))[1]
+
+
 def test_report_and_confusion(spark):
     rows = [("low", "low")] * 5 + [("low", "high")] * 2 + [("medium", "low")] * 3
     df = spark.createDataFrame(rows, "label string, prediction string")
@@ -314,6 +327,19 @@ def test_cross_validation_and_curve(spark):
     assert band.count() == 2 and set(band.columns) == {"fraction", "train_mean", "train_std", "test_mean", "test_std"}
 
 
+def test_cross_validation_leaves_no_files(spark):
+    from marlstone import session
+
+    held, before = [], len(session._written)
+
+    def train(df):
+        held.append(len(session._written))
+        return models.gaussian_nb(session.materialise(df))
+
+    assert evaluate.cross_validate(split.folds(labelled(spark), "id", 3), train, 3).count() == 3
+    assert held == [before + 1] * 3 and len(session._written) == before
+
+
 def test_model_queries_run_the_models_of_the_survey(spark, monkeypatch):
     from marlstone.plans import reference_queries as q
 
