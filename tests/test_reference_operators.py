@@ -327,6 +327,25 @@ def test_cross_validation_and_curve(spark):
     assert band.count() == 2 and set(band.columns) == {"fraction", "train_mean", "train_std", "test_mean", "test_std"}
 
 
+def test_models_are_scored_one_at_a_time_and_leave_no_files(spark, monkeypatch):
+    from marlstone import session
+    from marlstone.plans import reference_queries as q
+
+    held, small = [], labelled(spark)
+
+    def train(df):
+        held.append(len(session._written))
+        return models.gaussian_nb(session.materialise(df))
+
+    monkeypatch.setattr(models, "MODELS", dict.fromkeys(models.MODELS, train))
+    monkeypatch.setattr(q, "_labelled", lambda *_: small)
+    monkeypatch.setattr(q, "_scaled", lambda train, test: (train, test))
+    for run in (q.q_reports_by_model,):
+        held.clear()
+        run(spark, "")
+        assert len(held) == 5 and {*held} == {len(session._written)}  # the split itself stays
+
+
 def test_cross_validation_leaves_no_files(spark):
     from marlstone import session
 
