@@ -340,7 +340,7 @@ def test_models_are_scored_one_at_a_time_and_leave_no_files(spark, monkeypatch):
     monkeypatch.setattr(models, "MODELS", dict.fromkeys(models.MODELS, train))
     monkeypatch.setattr(q, "_labelled", lambda *_: small)
     monkeypatch.setattr(q, "_scaled", lambda train, test: (train, test))
-    for run in (q.q_reports_by_model,):
+    for run in (q.q_reports_by_model, q.q_confusion_by_model):
         held.clear()
         run(spark, "")
         assert len(held) == 5 and {*held} == {len(session._written)}  # the split itself stays
