@@ -185,6 +185,29 @@ def test_linkage(spark):
         hierarchy.agglomerative(pts)
 
 
+@pytest.mark.parametrize("kind", ["euclidean", "cityblock", "cosine"])
+@pytest.mark.parametrize("dims", [2, 5])
+def test_average_linkage_without_a_matrix_equals_the_kernel(monkeypatch, kind, dims):
+    rng = np.random.default_rng(dims)
+    x = rng.normal(size=(6, dims))[rng.integers(0, 6, 400)] * 6 + rng.normal(size=(400, dims))
+    x[5], x[9], x[10] = 0, x[8], x[8]
+    want = hierarchy.merge_list(distance.matrix(x, x, kind), "average")
+    monkeypatch.setattr(hierarchy, "CAP", 3)
+    monkeypatch.setattr(hierarchy, "LEAF", 32)
+    monkeypatch.setattr(hierarchy, "PAIRS", 1 << 12)
+    got = hierarchy.average_merges(x, kind)
+    assert [m[2] for m in got] == pytest.approx([m[2] for m in want], abs=1e-12)
+    for k in (1, 2, 7, 50, 390):
+        assert np.array_equal(hierarchy.cut(got, 400, n_clusters=k), hierarchy.cut(want, 400, n_clusters=k))
+
+
+def test_average_linkage_takes_more_points_than_a_matrix(spark):
+    n = hierarchy.CAP + 200
+    pts = spark.range(n).select("id", F.array(F.col("id").cast("double") + F.when(F.col("id") >= 3000, 1e6).otherwise(0), F.lit(0.0)).alias("features"))
+    got = hierarchy.agglomerative(pts, "average", n_clusters=2).groupBy("prediction").agg(F.min("id"), F.max("id")).orderBy("prediction").collect()
+    assert [tuple(r) for r in got] == [(0, 0, 2999), (1, 3000, n - 1)]
+
+
 @pytest.mark.parametrize("kind", ["euclidean", "cityblock", "cosine"])
 def test_spanning_tree_in_blocks(spark, kind):
     pts, x = cloud(spark, 60)
