@@ -382,6 +382,18 @@ def test_cross_validation_leaves_no_files(spark):
     assert held == [before + 1] * 3 and len(session._written) == before
 
 
+def test_learning_curve_of_the_logistic_model_is_fitted_in_common_passes(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(600, 3)) * [1, 10, 0.1]
+    y = np.array(["high", "low", "medium"])[np.argmax(x / [1, 10, 0.1] + rng.normal(size=(600, 3)), axis=1)]
+    df = spark.createDataFrame([(i, x[i].tolist(), str(y[i]), i % 3) for i in range(600)], "id bigint, features array<double>, label string, fold bigint")
+    schema = lambda df: {(r["fraction"], r["fold"]): (r["train_accuracy"], r["test_accuracy"]) for r in df.collect()}
+    want = schema(evaluate.learning_curve(df, lambda t: models.logistic_ovr(t), 3, (0.5, 1.0)))
+    monkeypatch.setattr(models, "_mllib", None)
+    got = schema(evaluate.learning_curve(df, models.logistic_ovr, 3, (0.5, 1.0)))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=0.006) for k in want)
+
+
 def test_model_queries_run_the_models_of_the_survey(spark, monkeypatch):
     from marlstone.plans import reference_queries as q
 
