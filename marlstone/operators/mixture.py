@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -38,24 +39,23 @@ class Mixture:
         return top + np.log(np.exp(p - top[:, None]).sum(1))
 
 
-def _moments(pts: DataFrame, responsibilities, k: int, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Summed responsibilities, first and second moments and log-likelihood: one row a task."""
+def _moments(pts: DataFrame, responsibilities: list, k: int, d: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
+    """Summed responsibilities, first and second moments and log-likelihood by each of the functions: one row a task."""
     width = k * (1 + d + d * d) + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(width)
+        total = np.zeros((len(responsibilities), width))
         for pdf in batches:
             if len(pdf):
                 x = stacked(pdf)
-                r, ll = responsibilities(x)
-                total += np.concatenate([r.sum(0), (r.T @ x).ravel(), np.einsum("nk,ni,nj->kij", r, x, x).ravel(), [ll]])
-        yield pd.DataFrame({"v": [total]})
+                for t, f in zip(total, responsibilities):
+                    r, ll = f(x)
+                    t += np.concatenate([r.sum(0), (r.T @ x).ravel(), np.einsum("nk,ni,nj->kij", r, x, x).ravel(), [ll]])
+        yield pd.DataFrame({"v": [total.ravel()]})
 
-    rows = pts.select("features").mapInPandas(run, "v array<double>").select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
-    t = np.zeros(width)
-    for i, x in rows:
-        t[i] = x
-    return t[:k], t[k : k + k * d].reshape(k, d), t[k + k * d : -1].reshape(k, d, d), t[-1]
+    rows = pts.select("features").mapInPandas(run, "v array<double>").collect()
+    total = np.sum([r["v"] for r in rows] or [np.zeros(len(responsibilities) * width)], axis=0).reshape(-1, width)
+    return [(t[:k], t[k : k + k * d].reshape(k, d), t[k + k * d : -1].reshape(k, d, d), t[-1]) for t in total]
 
 
 def _update(n: np.ndarray, s: np.ndarray, q: np.ndarray, cov: str, ridge: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,30 +74,41 @@ def _update(n: np.ndarray, s: np.ndarray, q: np.ndarray, cov: str, ridge: float)
 
 def fit(pts: DataFrame, k: int = 3, covariance: str = "full", seed: int = 42, max_iter: int = 50, tol: float = 1e-3, ridge: float = 1e-6) -> Mixture:
     """EM from a k-means start. A round is one pass; the moments (k * d * d numbers a task) are all that moves."""
-    if covariance not in COVARIANCES:
-        raise ValueError(f"unknown covariance {covariance!r}")
+    return fit_all(pts, k, (covariance,), seed, max_iter, tol, ridge)[0]
+
+
+def fit_all(pts: DataFrame, k: int = 3, covariances: tuple[str, ...] = COVARIANCES, seed: int = 42, max_iter: int = 50, tol: float = 1e-3, ridge: float = 1e-6) -> list[Mixture]:
+    """A fit for each covariance, from one start and in common passes; each ends by its own likelihood."""
+    if unknown := set(covariances) - set(COVARIANCES):
+        raise ValueError(f"unknown covariance {unknown.pop()!r}")
     heads = np.array(kmeans.fit(pts, k, seed=seed, max_iter=10, rule="total").heads)
     d = heads.shape[1]
 
     def hard(x: np.ndarray) -> tuple[np.ndarray, float]:
         return np.eye(k)[((x[:, None] - heads[None]) ** 2).sum(2).argmin(1)], 0.0
 
-    n, s, q, _ = _moments(pts, hard, k, d)
-    last, rows = -np.inf, max(n.sum(), 1)
+    first = _moments(pts, [hard], k, d)[0]
+    rows = max(first[0].sum(), 1)
+    moments, last, models = {c: first for c in covariances}, {c: -np.inf for c in covariances}, {}
+    live = list(dict.fromkeys(covariances))
     for r in range(1, max_iter + 1):
-        model = Mixture(*_update(n, s, q, covariance, ridge), 0.0, r)
+        for c in live:
+            models[c] = Mixture(*_update(*moments[c][:3], c, ridge), 0.0, r)
 
-        def soft(x: np.ndarray, m: Mixture = model) -> tuple[np.ndarray, float]:
+        def soft(x: np.ndarray, m: Mixture) -> tuple[np.ndarray, float]:
             p = m.log_parts(x)
             whole = m.log_density(x)
             return np.exp(p - whole[:, None]), float(whole.sum())
 
-        n, s, q, ll = _moments(pts, soft, k, d)
-        model.log_likelihood = ll / rows
-        if abs(model.log_likelihood - last) < tol:
+        moments = dict(zip(live, _moments(pts, [partial(soft, m=models[c]) for c in live], k, d)))
+        for c in list(live):
+            models[c].log_likelihood = moments[c][3] / rows
+            if abs(models[c].log_likelihood - last[c]) < tol:
+                live.remove(c)
+            last[c] = models[c].log_likelihood
+        if not live:
             break
-        last = model.log_likelihood
-    return model
+    return [models[c] for c in covariances]
 
 
 def predict(pts: DataFrame, model: Mixture) -> DataFrame:

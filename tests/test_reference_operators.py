@@ -248,6 +248,55 @@ def test_runs_of_a_grid_equal_single_runs(spark):
         assert (alone is None and k not in scores) or alone[0] == pytest.approx(scores[k])
 
 
+def test_dbscan_sweep_lists_no_neighbours(spark, monkeypatch):
+    """compare_algorithms failed on normalised points, where the largest eps has all pairs."""
+    pts, x = cloud(spark)
+    pts = pts.unionByName(pts.where("id < 6").select((F.col("id") + 100).alias("id"), "features"))
+    grid = [(0.15, 2), (0.4, 4), (0.9, 9), (30.0, 70)]
+    got = {r["id"]: r["labels"] for r in density.dbscan_labels(pts, grid).collect()}
+    for k, (eps, least) in enumerate(grid):
+        assert {i: v[k] for i, v in got.items()} == {r["id"]: r["prediction"] for r in density.dbscan(pts, eps, least).collect()}
+
+    def listed(*_, **__):
+        raise AssertionError("a neighbour table")
+
+    for module in (density, sweep):
+        monkeypatch.setattr(module, "neighbours", listed, raising=False)
+    rows = sweep.dbscan_sweep(pts, (0.4, 30.0), (3, 5)).collect()
+    assert [r["ord"] for r in rows] == [0, 1]
+
+
+@pytest.mark.parametrize("most, hot", [(256, 1 << 20), (3, 1 << 20), (256, 0)])
+def test_scores_of_many_labellings(monkeypatch, most, hot):
+    monkeypatch.setattr(distance, "LABELS", most)
+    monkeypatch.setattr(distance, "HOT", hot)
+    monkeypatch.setattr(distance, "AT_ONCE", 7)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(50, 3))
+    x[4] = x[5]
+    labels = np.stack([rng.integers(0, k, 50) for k in (1, 2, 5, 20)] + [np.arange(50), np.r_[np.zeros(48, int), 7, 7], -(np.arange(50) % 2)], 1)
+    d = np.linalg.norm(x[:, None] - x[None], axis=2)
+    got = distance.run_scores(x, labels, np.arange(30)) + distance.run_scores(x, labels, np.arange(30, 50))
+    for r, lab in enumerate(labels.T):
+        if len(set(lab)) == 1:
+            assert np.isnan(got[r])
+            continue
+        want = 0.0
+        for i in range(50):
+            own = (lab == lab[i]).sum()
+            a, b = d[i, lab == lab[i]].sum() / max(own - 1, 1), min(d[i, lab == c].mean() for c in set(lab) if c != lab[i])
+            want += 0.0 if own == 1 else (b - a) / max(a, b)
+        assert got[r] == pytest.approx(want, abs=1e-9)
+
+
+def test_compare_scores_a_set_of_points_once(spark, monkeypatch):
+    asked, score = [], sweep.label_scores
+    monkeypatch.setattr(sweep, "label_scores", lambda pts, labelled: asked.append(len(labelled.first()["labels"])) or score(pts, labelled))
+    rows = sweep.compare({"cloud": cloud(spark)[0]}).collect()
+    assert asked == [6 + 18 + len(sweep.EPS) * len(sweep.MIN_SAMPLES) + 4]
+    assert {r["algorithm"] for r in rows} == {"kmeans", "hierarchical", "dbscan", "gaussian mixture"} and all(r["score"] > 0.5 for r in rows)
+
+
 def test_components_of_a_hub_and_a_chain_of_many_parts(spark):
     rng = np.random.default_rng(0)
     edges = [(7, i) for i in range(100, 1100)] + [(i, i + 1) for i in range(5000, 5400)] + [(5400, 100)] + [(20_000, 20_001), (20_001, 20_000), (3, 3)]
