@@ -1,6 +1,7 @@
 """Analytics operators: unit cases, properties and comparison with plain NumPy."""
 
 import math
+from collections import Counter
 from datetime import datetime
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marlstone.functions.scalars import minutes_between
 from marlstone.operators import clean, density, distance, encode, evaluate, graph, hierarchy, inspect, kmeans, mixture, plotdata, split, sweep
-from marlstone.operators import classify as models
+from marlstone.operators import classify as models, forest as grown
 from marlstone.sources import generators
 from marlstone.sources.tables import read_delimited
 
@@ -367,6 +368,55 @@ def test_classifiers_learn_separate_classes(spark, name):
     assert evaluate.accuracy(make(df.where("id % 3 <> 0"))(df.where("id % 3 = 0"))).first()[0] >= 0.95
 
 
+@pytest.mark.parametrize("shape", ["few", "many"])
+def test_tree_cuts_where_gini_falls_most_and_goes_on_until_pure(monkeypatch, shape):
+    rng = np.random.default_rng(3)
+    n = 14 if shape == "few" else 5000
+    monkeypatch.setattr(grown, "ROWS", 700)  # larger nodes in parts
+    x, y, w = rng.integers(0, 32, (1, n), dtype=np.uint8), rng.integers(0, 3, n, dtype=np.uint8), rng.poisson(1, n).astype(np.uint8)
+    y[x[0] > 20] = 2
+    column, cut, child, weights = grown.grow(x, y, w, 3, 32, 1, rng)
+    impure = lambda at: w[at].sum() * (1 - sum((w[at & (y == k)].sum() / max(w[at].sum(), 1)) ** 2 for k in range(3)))
+    after = [impure(x[0] <= c) + impure(x[0] > c) for c in range(31)]
+    assert after[cut[0]] == pytest.approx(min(after)) and column.tolist() == [0, -1, -1] and child[0] == 1
+    assert weights[1:].sum(0).tolist() == weights[0].tolist() == [w[y == k].sum() for k in range(3)]
+    x = np.concatenate([np.tile(np.arange(n) % 32, (1, 1)), np.arange(n)[None] // 32 % 32, np.arange(n)[None] // 1024, np.zeros((5, n), int)]).astype(np.uint8)  # no two rows are equal, most columns are constant
+    tree = grown.grow(x, y, np.ones(n, np.uint8), 3, 32, 30, rng)
+    assert (grown.shares(tree, x).argmax(1) == y).all() and np.all(grown.shares(tree, x).max(1) == 1)
+
+
+def test_forest_keeps_no_tree_in_the_driver_and_is_the_same_in_any_layout(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.c_[rng.normal(size=(600, 2)), rng.integers(0, 3, 600)]
+    y = np.where(rng.random(600) < 0.2, "c", np.where(x[:, 0] + x[:, 1] > 0, "a", "b"))  # a fifth is noise
+    rows = [(i, x[i].tolist(), str(y[i])) for i in range(600)]
+    schema = "id bigint, features array<double>, label string"
+    monkeypatch.setattr(models.ml, "RandomForestClassifier", None)
+    found = []
+    for layout, tasks in ((rows[:400], 1), (rows[:400][::-1], 5)):
+        train, test = spark.createDataFrame(layout, schema).repartition(tasks), spark.createDataFrame([*rows[400:], rows[400], (None, *rows[401][1:])], schema).repartition(tasks)
+        found.append(models.forest(train, trees=20)(test).select("id", "prediction", "label").collect())
+    assert Counter(found[0]) == Counter(found[1]) and len(found[0]) == 202
+    assert sum(r["prediction"] == r["label"] for r in found[0]) > 0.7 * 202
+
+
+def test_held_out_moves_the_features_once_and_keeps_only_its_own_table(spark, monkeypatch):
+    from marlstone import session
+    from marlstone.plans import reference_queries as q
+
+    monkeypatch.setattr(q, "_labelled", lambda s, d: session.materialise(labelled(s)))
+    before = {path for _, path in session._written}
+    train, test = q._held_out(spark, "")
+    assert len({path for _, path in session._written} - before) == 1
+    assert train.count() + test.count() == labelled(spark).count() and not train.join(test, "id").count()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" not in split.class_rank(labelled(spark), "id", "label", 42)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 @pytest.mark.parametrize("cell", [40, 100_000])
 def test_knn_is_exact_over_cells_and_moves_no_block_pairs(spark, monkeypatch, cell):
     rng = np.random.default_rng(5)
