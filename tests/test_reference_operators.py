@@ -385,6 +385,26 @@ def test_tree_cuts_where_gini_falls_most_and_goes_on_until_pure(monkeypatch, sha
     assert (grown.shares(tree, x).argmax(1) == y).all() and np.all(grown.shares(tree, x).max(1) == 1)
 
 
+def test_tree_is_grown_in_a_task_over_all_columns(spark, monkeypatch):
+    monkeypatch.setattr(models.ml, "DecisionTreeClassifier", None)
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 4, (400, 9)).astype(float)
+    y = np.where(x[:, 8] > 1, "a", np.where(x[:, 3] > 1, "b", "c"))  # two of nine columns tell all
+    df = spark.createDataFrame([(i, x[i].tolist(), str(y[i])) for i in range(400)], "id bigint, features array<double>, label string")
+    assert evaluate.accuracy(models.tree(df.where("id < 300"), max_depth=2)(df.where("id >= 300"))).first()[0] == 1
+    monkeypatch.undo()
+    assert evaluate.accuracy(models.tree(df, max_depth=2, most=1)(df)).first()[0] == 1  # MLlib's
+
+
+def test_logistic_keeps_no_copy_of_the_rows(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    kept = []
+    monkeypatch.setattr(Frame, "persist", lambda self, *_: kept.append(self) or self)
+    df = labelled(spark)
+    assert evaluate.accuracy(models.logistic(df)(df)).first()[0] > 0.95 and not kept
+
+
 def test_forest_keeps_no_tree_in_the_driver_and_is_the_same_in_any_layout(spark, monkeypatch):
     rng = np.random.default_rng(4)
     x = np.c_[rng.normal(size=(600, 2)), rng.integers(0, 3, 600)]
@@ -430,6 +450,57 @@ def test_knn_is_exact_over_cells_and_moves_no_block_pairs(spark, monkeypatch, ce
         assert got[i] == min((-(votes[near] == v).sum(), v) for v in set(votes[near]))[1]
 
 
+def test_knn_sends_no_row_about_twice(spark, monkeypatch):
+    from marlstone import session
+
+    rng = np.random.default_rng(6)
+    x, votes = np.round(rng.normal(size=(300, 3)) * 2), rng.choice(["a", "b", "c"], 300)
+    df = spark.createDataFrame([(i, x[i].tolist(), str(votes[i])) for i in range(300)], "id bigint, features array<double>, label string")
+    train, test, before = df.where("id >= 100"), df.where("id < 100"), {path for _, path in session._written}
+    plans, own = [], models.materialise
+    monkeypatch.setattr(models, "materialise", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or own(df))
+    got = models.knn(train, 5, 40, asked=30)(test)
+    assert len(plans) == 3 and "shuffle_replicate_nl" in plans[-1] and sum("CoGroup" in p for p in plans) == 1
+    left = {path for _, path in session._written} - before
+    assert [set(spark.read.parquet(path).columns) for path in left] == [{"id", "prediction"}]
+    whole = models.knn(train)(test)
+    assert Counter(map(str, got.collect())) == Counter(map(str, whole.collect())) and got.count() == 100
+
+
+def test_forest_reads_its_blocks_in_each_task_and_shuffles_no_copies(spark, monkeypatch):
+    plans, own = [], models.materialise
+    monkeypatch.setattr(models, "materialise", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or own(df))
+    df = labelled(spark)
+    assert evaluate.accuracy(models.forest(df, trees=4)(df)).first()[0] > 0.95
+    assert any("shuffle_replicate_nl" in p for p in plans) and not any("RepartitionByExpression" in p for p in plans)
+
+
+def test_split_sorts_and_writes_no_rows(spark):
+    from marlstone import session
+
+    df = spark.createDataFrame([(i, "abc"[min(i % 7, 2)]) for i in range(500)] + [(None, "a"), (501, None), (502, None), (503, "d")], "id bigint, label string")
+    for share in (0.0, 0.3, 0.5, 1.0):
+        before = len(session._written)
+        got = split.stratified_split(df, "id", "label", share)
+        assert len(session._written) == before
+        r = split.class_rank(df, "id", "label", 42).withColumn("is_test", F.col("rank") <= F.floor(F.col("size") * share + 0.5))
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, r.select("id", "label", "is_test").collect()))
+    twice = spark.createDataFrame([(7, "a")] * 10, "id bigint, label string")
+    assert split.stratified_split(twice, "id", "label").where("is_test").count() == 3
+
+
+def test_scaled_parts_outlive_the_table_they_came_from(spark, monkeypatch):
+    from marlstone import session
+    from marlstone.plans import reference_queries as q
+
+    n = len(q.FEATURES) + len(q.CODED)
+    wide = labelled(spark).withColumn("features", F.transform(F.sequence(F.lit(1), F.lit(n)), lambda j: F.col("features")[0] * j))
+    monkeypatch.setattr(q, "_labelled", lambda *_: session.materialise(wide))
+    before = {path for _, path in session._written}
+    fit, test = q._scaled(*q._held_out(spark, ""))
+    assert len({path for _, path in session._written} - before) == 2 and fit.count() == 63 and test.count() == 27
+
+
 def test_report_and_confusion(spark):
     rows = [("low", "low")] * 5 + [("low", "high")] * 2 + [("medium", "low")] * 3
     df = spark.createDataFrame(rows, "label string, prediction string")
