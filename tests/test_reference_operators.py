@@ -467,6 +467,26 @@ def test_knn_sends_no_row_about_twice(spark, monkeypatch):
     assert Counter(map(str, got.collect())) == Counter(map(str, whole.collect())) and got.count() == 100
 
 
+def test_blocks_come_to_a_task_one_at_a_time(spark, monkeypatch):
+    seen, own, keys = [], models.materialise, ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(k) for k in keys]
+
+    def write(df):
+        if "shuffle_replicate_nl" in df._jdf.queryExecution().optimizedPlan().toString():
+            seen.append([spark.conf.get(k) for k in keys])
+        return own(df)
+
+    monkeypatch.setattr(models, "materialise", write)
+    df = labelled(spark)
+    models.forest(df, trees=4)(df)
+    models.tree(df)(df)
+    models.knn(df, 5, 20)(df)
+    assert seen == [["1", "1"]] * 3 and [spark.conf.get(k) for k in keys] == before
+    packed = models.knn(df)(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert packed.count("MapInPandas") == 2  # one Python process a side
+    assert models.knn(df.limit(0))(df).count() == 0
+
+
 def test_forest_reads_its_blocks_in_each_task_and_shuffles_no_copies(spark, monkeypatch):
     plans, own = [], models.materialise
     monkeypatch.setattr(models, "materialise", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or own(df))
